@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,17 +69,21 @@ def qualifying_visits(appointments: DataFrame, cancellations: DataFrame) -> Data
     )
 
 
-def service_labels(services: DataFrame, categories: DataFrame, curated: DataFrame) -> DataFrame:
-    """Active services with the curated label of their category."""
+def with_service_label(
+    df: DataFrame, services: DataFrame, categories: DataFrame, curated: DataFrame
+) -> DataFrame:
+    """Rows of `df` whose service is active, with the curated label of its category.
+
+    The three dimensions are joined one after the other: each is a plain scan
+    whose size Catalyst knows, so those that are small are broadcast and `df`
+    is not shuffled for them.
+    """
+    offered = services.where("active").select(F.col("id").alias("service_id"), "category_id")
+    active = categories.where("active").select(F.col("id").alias("category_id"), "name")
     label = document_text("service_classification", "$.labels[0]")
     labels = curated.select("name", label.alias("service_category")).where("service_category is not null")
-    active = categories.where("active").select(F.col("id").alias("category_id"), "name")
     return (
-        services.where("active")
-        .select(F.col("id").alias("service_id"), "category_id")
-        .join(active, "category_id")
-        .join(labels, "name")
-        .select("service_id", "service_category")
+        df.join(offered, "service_id").join(active, "category_id").join(labels, "name").drop("category_id", "name")
     )
 
 
@@ -92,13 +98,9 @@ def option_totals(options: DataFrame) -> DataFrame:
     )
 
 
-def booked_lines(lines: DataFrame, labels: DataFrame, options: DataFrame) -> DataFrame:
-    """Service lines with their label; `option_rows` is how many option rows each one meets."""
-    joined = (
-        lines.withColumnRenamed("id", "line_id")
-        .join(labels, "service_id")
-        .join(option_totals(options), "line_id", "left")
-    )
+def with_options(lines: DataFrame, options: DataFrame) -> DataFrame:
+    """Service lines with option sums; `option_rows` is how many option rows each line meets."""
+    joined = lines.withColumnRenamed("id", "line_id").join(option_totals(options), "line_id", "left")
     filled = {f"{part}_delta": F.coalesce(f"{part}_delta", F.lit(0)) for part in OPTION_DELTAS}
     return joined.withColumns({"option_rows": F.coalesce("option_rows", F.lit(1)), **filled})
 
@@ -146,21 +148,32 @@ def daily_demand(visits: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def demand_from_sources(tables: dict[str, DataFrame]) -> DataFrame:
-    visits = qualifying_visits(tables["appointments"], tables["appointment_cancellations"])
-    labels = service_labels(
-        tables["services"], tables["service_categories"], tables["service_categories_curated"]
+def booked_lines(tables: Mapping[str, DataFrame]) -> DataFrame:
+    labelled = with_service_label(
+        tables["appointment_services"],
+        tables["services"],
+        tables["service_categories"],
+        tables["service_categories_curated"],
     )
-    lines = booked_lines(tables["appointment_services"], labels, tables["appointment_service_options"])
-    return daily_demand(visits, lines)
+    return with_options(labelled, tables["appointment_service_options"])
+
+
+def demand_from_sources(tables: Mapping[str, DataFrame]) -> DataFrame:
+    visits = qualifying_visits(tables["appointments"], tables["appointment_cancellations"])
+    return daily_demand(visits, booked_lines(tables))
 
 
 LAGS = (7, 14, 28, 364)
 
 
 def rolling_demand(daily: DataFrame, calendar: bool = False) -> DataFrame:
-    """History features of each series; same-day behaviour becomes a trailing average."""
+    """History features of each series; same-day behaviour becomes a trailing average.
+
+    Spreading by location alone serves the windows and leaves the result
+    placed for the joins by location that follow.
+    """
     series = Series(SERIES_KEYS, DAY, calendar)
+    daily = daily.repartition("location_id")
     features = []
     for measure, prefix in (("demand_count", "count_appts"), ("provider_hours_demanded", "hours_provider")):
         features += [series.total(measure, n).alias(f"{prefix}_l{n}d") for n in (7, 30)]

@@ -13,7 +13,7 @@ from ..operators.nearby import with_holiday_distance
 from ..session import cut
 from . import dimensions
 from .demand import BEHAVIOUR, DAY, PANEL_KEYS, demand_from_sources, rolling_demand
-from .market import competitor_columns, market_daily, market_rolling
+from .market import competitor_columns, market_features
 
 # Start of history, menu defaults, plausibility bound.
 FIRST_DAY = date(2023, 1, 1)
@@ -111,8 +111,7 @@ def feature_table(
     """
     daily = cut(demand_from_sources(tables))
     profile = dimensions.location_profile(tables["locations"], tables["staff_locations"], tables["staff"], as_of)
-    zip3 = market_rolling(market_daily(daily, profile, "location_zip3"), "location_zip3", "zip3", calendar)
-    zip5 = market_rolling(market_daily(daily, profile, "location_zip"), "location_zip", "zip", calendar)
+    markets = market_features(daily, profile, calendar)
     messages = dimensions.messages_daily(tables["marketing_email"], tables["marketing_sms"])
     sent = dimensions.message_window(daily, messages)
     menu = dimensions.menu_stats(
@@ -130,7 +129,6 @@ def feature_table(
         with_holiday_distance(located, DAY, holidays)
         .join(menu, ["location_id", "service_category"], "left")
         .join(sent, ["location_id", DAY], "left")
-        .join(zip3, ["location_zip3", "service_category", DAY], "left")
-        .join(zip5, ["location_zip", "service_category", DAY], "left")
+        .join(markets, ["location_zip", "service_category", DAY], "left")
         .select(*feature_columns())
     )

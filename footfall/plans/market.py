@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import clamped_difference
 from ..operators.trailing import Series
 from .demand import DAY
+from .dimensions import ZIP3_LENGTH
 
 SHARED_MEASURES = tuple(
     f"{prefix}_{suffix}"
@@ -42,6 +43,20 @@ def market_rolling(totals: DataFrame, market: str, prefix: str, calendar: bool =
     return totals.select(market, "service_category", DAY, *features)
 
 
+def market_features(daily: DataFrame, profile: DataFrame, calendar: bool = False) -> DataFrame:
+    """Windows of both market levels, one row per postal code, category and day.
+
+    Every postal code lies in one prefix, so the wide market is attached to the
+    narrow one and the far larger location panel is joined only once.
+    """
+    narrow = market_rolling(market_daily(daily, profile, "location_zip"), "location_zip", "zip", calendar)
+    wide = market_rolling(market_daily(daily, profile, "location_zip3"), "location_zip3", "zip3", calendar)
+    prefix = F.left("location_zip", F.lit(ZIP3_LENGTH))
+    return narrow.withColumn("location_zip3", prefix).join(
+        wide, ["location_zip3", "service_category", DAY], "left"
+    ).drop("location_zip3")
+
+
 def competitor_columns(prefix: str):
     """Market minus own demand, market-level weekday averages, and the member count."""
     own = [

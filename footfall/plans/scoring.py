@@ -19,7 +19,7 @@ PREDICTION_DAY = "prediction_date"
 
 def rows_after(features: DataFrame, day: str, scored: DataFrame, scored_at: str) -> DataFrame:
     """Rows of days later than the latest in `scored`; all rows while that is empty."""
-    latest = scored.agg(F.coalesce(F.max(scored_at).cast("date"), F.lit(date.min))).scalar()
+    latest = scored.agg(F.coalesce(F.max(scored_at).cast("date"), F.lit("0001-01-01").cast("date"))).scalar()
     return features.where(F.col(day) > latest)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,10 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Catalyst broadcasts a side only if its files are within this size.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # Data placed by location also serves joins by location and day.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Join key and grouping key differ in the fact joins, so splitting a hot
     # join key costs nothing extra; allow it also where it adds an exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -49,10 +54,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and go on from the files.
+    """Write `df` as parquet to the checkpoint folder and go on from the files.
 
-    For a result that several branches read: they then scan the small stored
-    rows, and a lost executor never sends the job back to the fact tables.
+    For a result that several branches read: each scans only its own columns,
+    Catalyst knows the real size, and a lost executor never sends the job back
+    to the fact tables.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -40,13 +40,14 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trailing 30-row mean of the hours as a stand-in forecast, in the prediction schema."""
+    """Trailing 30-row mean as a stand-in forecast, in the prediction schema and whole minutes."""
     series = Series(demand.SERIES_KEYS, demand.DAY)
-    return daily(spark, sf_dir).select(
+    minutes = F.round(F.col("provider_hours_demanded") * 60)
+    return daily(spark, sf_dir).withColumn("actual", minutes).select(
         *demand.SERIES_KEYS,
         F.col(demand.DAY).cast("timestamp_ntz").alias("prediction_timestamp"),
-        F.round("provider_hours_demanded", 6).alias("actual"),
-        F.round(series.mean("provider_hours_demanded", 30), 6).alias("predicted"),
+        "actual",
+        F.round(series.mean("actual", 30)).alias("predicted"),
     )
 
 
@@ -129,10 +130,7 @@ def defaults_fill(spark, sf_dir):
 @query
 def left_fanout(spark, sf_dir):
     tables = sources(spark, sf_dir)
-    labels = demand.service_labels(
-        tables["services"], tables["service_categories"], tables["service_categories_curated"]
-    )
-    lines = demand.booked_lines(tables["appointment_services"], labels, tables["appointment_service_options"])
+    lines = demand.booked_lines(tables)
     return lines.groupBy("appointment_id", "service_category").agg(
         F.sum("option_rows").alias("n_rows"),
         F.sum(F.col("option_rows") * F.col("price") + F.col("price_delta")).alias("total_price"),
@@ -397,7 +395,7 @@ def error_metrics(spark, sf_dir):
 def conformal_quantile(spark, sf_dir):
     scored = cut(forecasts(spark, sf_dir))
     q, n = errors.conformal_quantile(scored, "actual", "predicted")
-    return scored.agg(F.count("*").alias("n_rows")).select("n_rows", F.lit(n).alias("n_calibration"), F.lit(q).alias("q"))
+    return scored.agg(F.count("actual").alias("n_rows")).select("n_rows", F.lit(n).alias("n_calibration"), F.lit(q).alias("q"))
 
 
 @query
