@@ -2,7 +2,7 @@
 
 from .calendar import calendar_columns, days_between, local_to_utc_date, weekday
 from .documents import document_text
-from .numbers import clamped_difference, safe_ratio, share_of_rows, weighted_mean
+from .numbers import clamped_difference, round_ratio, safe_ratio, share_of_rows, weighted_mean
 
 __all__ = [
     "calendar_columns",
@@ -10,6 +10,7 @@ __all__ = [
     "days_between",
     "document_text",
     "local_to_utc_date",
+    "round_ratio",
     "safe_ratio",
     "share_of_rows",
     "weekday",

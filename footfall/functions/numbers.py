@@ -13,6 +13,15 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
 
 
+def round_ratio(ratio: Column) -> Column:
+    """Ratio to four digits, half away from zero, as exact decimals round.
+
+    The detour over a decimal drops the noise that a chain of double
+    operations leaves on a value that lies on a tie.
+    """
+    return F.round(ratio.cast("decimal(28,12)"), RATIO_DIGITS).cast("double")
+
+
 def share_of_rows(condition: Column, weight: Column | None = None) -> Column:
     """Aggregate: rounded share of rows for which `condition` is true.
 
@@ -20,7 +29,7 @@ def share_of_rows(condition: Column, weight: Column | None = None) -> Column:
     """
     weight = F.lit(1) if weight is None else weight
     hits = F.sum(F.when(condition, weight).otherwise(F.lit(0)))
-    return F.round(safe_ratio(hits, F.sum(weight)), RATIO_DIGITS)
+    return round_ratio(safe_ratio(hits, F.sum(weight)))
 
 
 def weighted_mean(total: Column, value: Column, weight: Column) -> Column:

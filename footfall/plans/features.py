@@ -7,8 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import calendar_columns, days_between
-from ..functions.numbers import RATIO_DIGITS
+from ..functions import calendar_columns, days_between, round_ratio
 from ..operators.nearby import with_holiday_distance
 from ..session import cut
 from . import dimensions
@@ -52,7 +51,7 @@ def utilisation_rate() -> Column:
     duration = F.coalesce("avg_menu_duration_min", F.lit(DEFAULT_DURATION_MIN))
     booked = F.col("count_appts_l7d") / F.lit(7.0) * duration / F.lit(60.0)
     offered = F.col("total_available_hours")
-    return F.when(offered > 0, F.round(booked / F.nullif(offered, F.lit(0.0)), RATIO_DIGITS)).otherwise(F.lit(0.0))
+    return F.when(offered > 0, round_ratio(booked / F.nullif(offered, F.lit(0.0)))).otherwise(F.lit(0.0))
 
 
 def feature_columns() -> list[Column | str]:

@@ -19,6 +19,11 @@ def zone(key: str) -> str:
     return f"(['America/Los_Angeles', 'America/New_York', 'Asia/Tokyo'])[{key} % 3 + 1]"
 
 
+def share(condition: str) -> str:
+    """Share of rows to 4 digits, rounded as an exact decimal."""
+    return f"cast(round(cast(count(*) filter ({condition}) / count(*) as decimal(20, 12)), 4) as double)"
+
+
 def cents(column: str) -> str:
     return f"cast(round({column} * 100) as bigint)"
 
@@ -29,7 +34,7 @@ CTES: dict[str, str] = {
     "holidays": f"select holiday_date from (values {QUARTERS}) as h(holiday_date)",
     "visit": f"""
         select o_orderkey as visit_key, o_custkey // 15 as location_id,
-            cast(((o_orderdate + to_hours(cast(o_totalprice - 0.5 as bigint) % 24)) at time zone
+            cast(((o_orderdate + to_hours(cast(trunc(o_totalprice) as bigint) % 24)) at time zone
                 {zone('(o_custkey // 15)')}) at time zone 'UTC' as date) as target_date,
             {zone('(o_custkey // 15)')} as tz,
             o_orderpriority as priority, o_custkey as customer,
@@ -70,16 +75,16 @@ CTES: dict[str, str] = {
                 + post_staff
                 + case when focus then 10 + (case when o.line_id is null then 0 else 2 end) else 0 end as minutes
         from line as l left join option_row as o on o.line_id = l.line_id""",
-    "daily": """
+    "daily": f"""
         select v.location_id, l.service_category, v.target_date, count(*) as demand_count,
             avg(date_diff('day', cast(booked_at as date), target_date)) as avg_lead_time_days,
-            round(count(booked_by_id) / count(*), 4) as booked_internally_ratio,
-            round(count(booked_by_client_id) / count(*), 4) as self_booked_ratio,
-            round(count(*) filter (source = 'sched_booking_widget') / count(*), 4) as booked_online_ratio,
-            round(count(*) filter (staff_requested) / count(*), 4) as staff_requested_ratio,
+            {share('booked_by_id is not null')} as booked_internally_ratio,
+            {share('booked_by_client_id is not null')} as self_booked_ratio,
+            {share("source = 'sched_booking_widget'")} as booked_online_ratio,
+            {share('staff_requested')} as staff_requested_ratio,
             avg(full_price) as avg_price_cents, avg(discount_cents) as avg_discount_cents,
             avg(discount_pct) as avg_discount_pct,
-            round(count(*) filter (discount_cents > 0) / count(*), 4) as discount_adoption_ratio,
+            {share('discount_cents > 0')} as discount_adoption_ratio,
             avg(full_duration) as avg_duration_min,
             cast(sum(minutes) as double) / 60 as provider_hours_demanded
         from good_visit as v join line_option as l on l.visit_key = v.visit_key
@@ -266,8 +271,8 @@ def competitor(prefix: str) -> list[str]:
     ]
 
 
-UTILISATION = """case when total_available_hours > 0 then round(count_appts_l7d / 7.0::double
-    * coalesce(avg_menu_duration_min, 60) / 60.0::double / total_available_hours, 4) else 0 end"""
+UTILISATION = """case when total_available_hours > 0 then round(cast(count_appts_l7d / 7.0::double
+    * coalesce(avg_menu_duration_min, 60) / 60.0::double / total_available_hours as decimal(20, 12)), 4) else 0 end"""
 
 CALENDAR = """dayofweek({d}) as day_of_week, dayofmonth({d}) as day_of_month, month({d}) as month_num,
     quarter({d}) as quarter, weekofyear({d}) as week_of_year, dayofyear({d}) as day_of_year,
@@ -449,8 +454,8 @@ ORACLE: dict[str, str] = {
         "booked_at:t copies:i",
     ),
     "conditional_ratio": sql(
-        """select l_suppkey, round(count(*) filter (l_returnflag = 'R') / count(*), 4) as returned_ratio,
-            round(count(*) filter (l_discount > 0) / count(*), 4) as discount_ratio from lineitem group by all""",
+        f"""select l_suppkey, {share("l_returnflag = 'R'")} as returned_ratio,
+            {share('l_discount > 0')} as discount_ratio from lineitem group by all""",
         "l_suppkey:i returned_ratio:d discount_ratio:d",
     ),
     "prefix_market": sql(
