@@ -28,8 +28,11 @@ def days_to_nearest(marked: DataFrame, marked_day: str, day: str, reach: int) ->
 def with_holiday_distance(
     df: DataFrame, day: str, holidays: DataFrame, reach: int = 30, default: int = 60
 ) -> DataFrame:
-    """Adds `is_holiday` and `days_to_nearest_holiday` (`default` beyond `reach`)."""
-    nearest = days_to_nearest(holidays, "holiday_date", day, reach)
+    """Adds `is_holiday` and `days_to_nearest_holiday` (`default` beyond `reach`).
+
+    The broadcast side has one row per calendar day at most, whatever the data.
+    """
+    nearest = F.broadcast(days_to_nearest(holidays, "holiday_date", day, reach))
     distance = F.col("days_to_nearest")
     return (
         df.join(nearest, [day], "left")

@@ -12,11 +12,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions import safe_ratio, weekday
-
 WEEK = 7
 
 
@@ -26,40 +24,34 @@ class Series:
     day: str
     calendar: bool = False
 
-    def _ordered(self, by_weekday: bool = False) -> WindowSpec:
-        keys: list[str | Column] = list(self.keys)
-        if by_weekday:
-            keys.append(weekday(F.col(self.day)))
-        order = F.unix_date(self.day) if self.calendar else F.col(self.day)
-        return Window.partitionBy(*keys).orderBy(order)
-
-    def _frame(self, first: int, last: int = 1, by_weekday: bool = False) -> WindowSpec:
-        window = self._ordered(by_weekday)
-        if self.calendar:
-            return window.rangeBetween(-first, -last)
-        return window.rowsBetween(-first, -last)
+    def _over(self, first: int, last: int = 1, by_weekday: bool = False) -> str:
+        """OVER clause for the frame from `first` steps back to `last` steps back."""
+        keys = [*self.keys, f"dayofweek({self.day})"] if by_weekday else self.keys
+        unit, order = ("RANGE", f"unix_date({self.day})") if self.calendar else ("ROWS", self.day)
+        return (
+            f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {order} "
+            f"{unit} BETWEEN {first} PRECEDING AND {last} PRECEDING)"
+        )
 
     def total(self, measure: str, steps: int) -> Column:
         """Sum over the previous `steps` steps, 0 if there are none."""
-        return F.coalesce(F.sum(measure).over(self._frame(steps)), F.lit(0))
+        return F.expr(f"coalesce(sum({measure}) {self._over(steps)}, 0)")
 
     def mean(self, measure: str, first: int, last: int = 1) -> Column:
         """Average over the steps `first` back to `last` back, 0 if there are none."""
-        return F.coalesce(F.avg(measure).over(self._frame(first, last)), F.lit(0.0))
+        return F.expr(f"coalesce(avg({measure}) {self._over(first, last)}, 0D)")
 
     def weekday_mean(self, measure: str, weeks: int = 52) -> Column:
         """Average over the previous `weeks` rows that fall on the same weekday."""
         steps = weeks * WEEK if self.calendar else weeks
-        window = self._frame(steps, by_weekday=True)
-        return F.coalesce(F.avg(measure).over(window), F.lit(0.0))
+        return F.expr(f"coalesce(avg({measure}) {self._over(steps, by_weekday=True)}, 0D)")
 
     def lag(self, measure: str, steps: int) -> Column:
         """Value `steps` steps earlier, 0 if there is none."""
         if self.calendar:
-            earlier = F.max(measure).over(self._frame(steps, steps))
-        else:
-            earlier = F.lag(measure, steps).over(self._ordered())
-        return F.coalesce(earlier, F.lit(0))
+            return F.expr(f"coalesce(max({measure}) {self._over(steps, steps)}, 0)")
+        keys = ", ".join(self.keys)
+        return F.expr(f"coalesce(lag({measure}, {steps}) OVER (PARTITION BY {keys} ORDER BY {self.day}), 0)")
 
     def trend(self, measure: str) -> Column:
         """Average of the last two weeks minus that of the two weeks before."""
@@ -67,6 +59,7 @@ class Series:
 
     def ratio(self, numerator: str, denominator: str, steps: int) -> Column:
         """Quotient of two trailing sums, 0 where it is undefined."""
-        window = self._frame(steps)
-        quotient = safe_ratio(F.sum(numerator).over(window), F.sum(denominator).over(window))
-        return F.coalesce(quotient, F.lit(0.0))
+        over = self._over(steps)
+        return F.expr(
+            f"coalesce(cast(sum({numerator}) {over} AS double) / nullif(sum({denominator}) {over}, 0), 0D)"
+        )

@@ -123,11 +123,12 @@ def feature_table(
         & hours.isNotNull()
         & (hours / F.col("demand_count") <= MAX_HOURS_PER_BOOKING)
     )
-    located = panel.join(location_dimension(tables, as_of), "location_id")
-    return (
-        with_holiday_distance(located, DAY, holidays)
+    # Three joins by location need no new placement of the panel; the market
+    # join moves it once; the calendar's few days come last.
+    located = (
+        panel.join(location_dimension(tables, as_of), "location_id")
         .join(menu, ["location_id", "service_category"], "left")
         .join(sent, ["location_id", DAY], "left")
         .join(markets, ["location_zip", "service_category", DAY], "left")
-        .select(*feature_columns())
     )
+    return with_holiday_distance(located, DAY, holidays).select(*feature_columns())

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGITS, HOUR_DIGITS = 6, 9
@@ -20,13 +19,14 @@ def digits_of(name: str) -> int:
 def tidy(df: DataFrame) -> DataFrame:
     columns = []
     for field in df.schema.fields:
-        column = F.col(field.name)
+        name = field.name
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            column = F.round(column + F.lit(NUDGE), digits_of(field.name)) + F.lit(0.0)
+            columns.append(f"round({name} + {NUDGE}D, {digits_of(name)}) + 0D AS {name}")
         elif isinstance(field.dataType, T.IntegralType):
-            column = column.cast("bigint")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            columns.append(f"cast({name} AS bigint) AS {name}")
+        else:
+            columns.append(name)
+    return df.selectExpr(*columns)
 
 
 def tidy_sql(sql: str, columns: str) -> str:
