@@ -123,12 +123,13 @@ def feature_table(
         & hours.isNotNull()
         & (hours / F.col("demand_count") <= MAX_HOURS_PER_BOOKING)
     )
-    # Three joins by location need no new placement of the panel; the market
-    # join moves it once; the calendar's few days come last.
+    # The panel keeps the placement of its windows for the menu, then moves once
+    # for what is known per location and day and once for the markets. No move
+    # is by location alone, so a location with very many rows stays spread out.
+    located_days = sent.join(location_dimension(tables, as_of), "location_id")
     located = (
-        panel.join(location_dimension(tables, as_of), "location_id")
-        .join(menu, ["location_id", "service_category"], "left")
-        .join(sent, ["location_id", DAY], "left")
+        panel.join(menu, ["location_id", "service_category"], "left")
+        .join(located_days, ["location_id", DAY])
         .join(markets, ["location_zip", "service_category", DAY], "left")
     )
     return with_holiday_distance(located, DAY, holidays).select(*feature_columns())

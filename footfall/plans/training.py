@@ -166,7 +166,7 @@ def cross_validate(train: DataFrame, model: DemandModel, boosting: Boosting, fol
 
 def next_version(names: DataFrame, column: str, by: tuple[str, ...] = ()) -> DataFrame:
     """`V` and one more than the largest number among names like `V12`; `V1` if there are none."""
-    number = F.try_to_number(F.regexp_extract(column, r"^V+(\d+)$", 1), F.lit("999999999")).cast("bigint")
+    number = F.regexp_extract(column, r"^V*(\d+)$", 1).try_cast("bigint")
     latest = F.coalesce(F.max(number), F.lit(0))
     return names.groupBy(*by).agg(F.concat(F.lit("V"), (latest + 1).cast("string")).alias("next_version"))
 
@@ -232,7 +232,7 @@ class ModelStore:
         return next_version(self.registry(), "version").first()["next_version"]
 
     def last_version(self) -> str | None:
-        number = F.regexp_extract("version", r"(\d+)$", 1).cast("bigint")
+        number = F.regexp_extract("version", r"(\d+)$", 1).try_cast("bigint")
         latest = self.registry().orderBy(number.desc()).select("version").first()
         return latest and latest["version"]
 

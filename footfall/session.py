@@ -15,8 +15,6 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Catalyst broadcasts a side only if its files are within this size.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
-    # Data placed by location also serves joins by location and day.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Join key and grouping key differ in the fact joins, so splitting a hot
     # join key costs nothing extra; allow it also where it adds an exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -68,15 +68,15 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert not re.search(r"ReadSchema: struct<[^>]*props", plan)
 
 
-def test_panel_moves_once_after_its_windows(spark, no_broadcast):
-    """Joins by location reuse the placement of the windows; only the market join moves the panel."""
-    plan = plan_of(QUERIES["feature_table"](spark, SMALL))
-    spine = plan[: plan.index("REPARTITION_BY_COL")].splitlines()
-    depth = len(re.match(r"[\s:|]*", spine[-1]).group())
-    above, limit = 0, depth
-    for line in reversed(spine[:-1]):  # the ancestors of the windows' exchange
-        indent = len(re.match(r"[\s:|]*", line).group())
-        if indent < limit:
-            limit = indent
-            above += "Exchange hashpartitioning" in line
-    assert above == 1
+def test_panel_moves_twice_after_its_windows(spark, no_broadcast):
+    """Once for location days and once for markets, never by location alone."""
+    plan = plan_of(QUERIES["feature_table"](spark, SMALL)).splitlines()
+    depth = [len(re.match(r"[\s:|]*", line).group()) for line in plan]
+    window = next(i for i, line in enumerate(plan) if "Window [" in line)
+    moves, limit = [], depth[window]
+    for i in range(window - 1, 0, -1):  # the ancestors of the panel's windows
+        if depth[i] < limit:
+            limit = depth[i]
+            moves += re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan[i])
+    keys = [re.findall(r"(\w+)#", move) for move in moves]
+    assert keys == [["location_id", "target_date"], ["location_zip", "service_category", "target_date"]]
