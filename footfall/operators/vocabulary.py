@@ -8,6 +8,8 @@ group is numbered on its own, and group offsets come from a table of at most
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,17 +23,30 @@ def category_text(column: Column | str) -> Column:
     return F.coalesce(column.cast("string"), F.lit(MISSING))
 
 
-def fit_vocabulary(df: DataFrame, column: str) -> DataFrame:
-    """One row per distinct category of `column`: `category`, `code` from 0."""
+def fit_vocabularies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per distinct category of each column: `feature`, `category`, `code` from 0.
+
+    All columns are read in one pass.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), category_text(c).alias("category")) for c in columns])
     prefix = F.left(F.md5("category"), F.lit(PREFIX_DIGITS))
-    found = df.select(category_text(column).alias("category")).distinct().withColumn("prefix", prefix)
-    sizes = found.groupBy("prefix").agg(F.count("*").alias("n"))
-    earlier = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("prefix", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    within = F.row_number().over(Window.partitionBy("prefix").orderBy("category")) - 1
-    numbered = found.select("category", "prefix", within.alias("position"))
+    found = df.select(F.inline(pairs)).distinct().withColumn("prefix", prefix)
+    sizes = found.groupBy("feature", "prefix").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("feature").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("feature", "prefix", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("feature", "prefix").orderBy("category")) - 1
+    numbered = found.select("feature", "category", "prefix", within.alias("position"))
     code = (F.col("start") + F.col("position")).cast("int")
-    return numbered.join(starts, "prefix").select("category", code.alias("code"))
+    return numbered.join(starts, ["feature", "prefix"]).select("feature", "category", code.alias("code"))
+
+
+def vocabulary_of(vocabularies: DataFrame, column: str) -> DataFrame:
+    return vocabularies.where(F.col("feature") == column).select("category", "code")
+
+
+def fit_vocabulary(df: DataFrame, column: str) -> DataFrame:
+    """One row per distinct category of `column`: `category`, `code` from 0."""
+    return fit_vocabularies(df, [column]).drop("feature")
 
 
 def encode(df: DataFrame, column: str, vocabulary: DataFrame, output: str) -> DataFrame:

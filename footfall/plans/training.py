@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.errors import ALPHA, conformal_quantile, coverage, error_columns, error_metrics
-from ..operators.vocabulary import encode, fit_vocabulary
+from ..operators.vocabulary import encode, fit_vocabularies, vocabulary_of
 from ..session import cut, ensure_checkpoint_dir
 from ..sources.sinks import append_rows, path_exists, replace_table
 
@@ -58,7 +58,7 @@ class Boosting:
 @dataclass
 class DemandModel:
     pipeline: PipelineModel
-    vocabularies: dict[str, DataFrame]
+    vocabularies: DataFrame
     sizes: dict[str, int]
     conformal_q: float = 0.0
     version: str = ""
@@ -99,13 +99,13 @@ def time_blocks(df: DataFrame, day: str, blocks: int) -> DataFrame:
     return counted.withColumn("block", block.cast("int"))
 
 
-def with_model_inputs(df: DataFrame, vocabularies: dict[str, DataFrame], sizes: dict[str, int]) -> DataFrame:
+def with_model_inputs(df: DataFrame, vocabularies: DataFrame, sizes: dict[str, int]) -> DataFrame:
     """Adds `n_*` numeric and `c_*` coded columns ready for the vector assembler."""
     numbers = {f"n_{c}": F.coalesce(F.col(c).cast("double"), F.lit(MISSING_NUMBER)) for c in NUMERIC_INPUTS}
     df = df.withColumns(numbers)
     for column in CATEGORY_INPUTS:
         size = sizes[column]
-        df = encode(df, column, vocabularies[column], f"c_{column}")
+        df = encode(df, column, vocabulary_of(vocabularies, column), f"c_{column}")
         code = F.coalesce(F.col(f"c_{column}"), F.lit(size)).cast("double")
         if size < MAX_NOMINAL:
             nominal = {"ml_attr": {"type": "nominal", "name": f"c_{column}", "num_vals": size + 1}}
@@ -138,8 +138,9 @@ def _pipeline(boosting: Boosting, sizes: dict[str, int]) -> Pipeline:
 def fit(train: DataFrame, boosting: Boosting) -> DemandModel:
     """Vocabularies and trees of one training table."""
     ensure_checkpoint_dir(train.sparkSession)
-    vocabularies = {c: cut(fit_vocabulary(train, c)) for c in CATEGORY_INPUTS}
-    sizes = {c: v.count() for c, v in vocabularies.items()}
+    vocabularies = cut(fit_vocabularies(train, CATEGORY_INPUTS))
+    counted = vocabularies.groupBy("feature").count().collect()
+    sizes = {c: 0 for c in CATEGORY_INPUTS} | {r["feature"]: r["count"] for r in counted}
     return _fit_with(train, vocabularies, sizes, boosting)
 
 
@@ -240,8 +241,7 @@ class ModelStore:
         path = f"{self.root}/{version}"
         model.pipeline.write().overwrite().save(f"{path}/pipeline")
         model.pipeline.stages[-1].write().overwrite().save(f"{path}/trees")
-        for column, vocabulary in model.vocabularies.items():
-            replace_table(vocabulary, f"{path}/vocabulary/{column}")
+        replace_table(model.vocabularies, f"{path}/vocabularies")
         return path
 
     def register(self, model: DemandModel, alpha: float, n_calibration: int, covered: float, comment: str) -> None:
@@ -262,7 +262,7 @@ class ModelStore:
         path = f"{self.root}/{version}"
         return DemandModel(
             pipeline=PipelineModel.load(f"{path}/pipeline"),
-            vocabularies={c: self.spark.read.parquet(f"{path}/vocabulary/{c}") for c in CATEGORY_INPUTS},
+            vocabularies=self.spark.read.parquet(f"{path}/vocabularies"),
             sizes=dict(entry["sizes"]),
             conformal_q=entry["conformal_q"],
             version=version,
