@@ -44,7 +44,7 @@ def merge_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def upsert(new: DataFrame, path: str, keys: Sequence[str], day: str) -> None:
-    """Merge `new` into the parquet table at `path`, which is partitioned by `day`.
+    """Merge `new` into the parquet table at `path`, which is partitioned by the date `day`.
 
     Only the day folders that `new` touches are read and rewritten; each is
     replaced by one dynamic-partition commit. Keys must be present and unique.
@@ -54,7 +54,9 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], day: str) -> None:
     if not null_rows(new, keys).isEmpty() or not duplicate_keys(new, keys).isEmpty():
         raise ValueError(f"upsert keys {list(keys)} must be unique and not null")
     if path_exists(spark, path):
-        old = spark.read.parquet(path)
+        span = new.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+        # Literal bounds prune the day folders before anything is read.
+        old = spark.read.schema(new.schema).parquet(path).where(F.col(day).between(span["first"], span["last"]))
         touched = old.join(new.select(day).distinct(), [day], "left_semi")
         new = cut(merge_by_key(touched, new, keys))
     writer = new.repartition(day, *keys).write.mode("overwrite")

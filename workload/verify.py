@@ -7,8 +7,7 @@ import time
 
 import duckdb
 import pandas as pd
-
-from footfall.session import build_session
+from pyspark.sql import SparkSession
 
 from .oracle import ORACLE
 from .queries import QUERIES
@@ -58,19 +57,22 @@ def difference(got: pd.DataFrame, expected: pd.DataFrame) -> str:
 
 
 def main(sf_dir: str, keys: list[str]) -> int:
-    spark = build_session(
-        "verify", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
-    )
+    builder = SparkSession.builder.master("local[8]").appName("verify").config("spark.ui.enabled", "false")
+    builder = builder.config("spark.sql.shuffle.partitions", "8").config("spark.ui.showConsoleProgress", "false")
+    spark = builder.getOrCreate()  # Spark's defaults: no query may depend on this package's settings
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     failures = 0
+    seconds = 0.0
     for key in keys or QUERIES:
         started = time.time()
         got = QUERIES[key](spark, sf_dir).toPandas()
         spent = time.time() - started
         problem = difference(got, connection.sql(ORACLE[key]).df()) if key in ORACLE else ""
         failures += bool(problem)
+        seconds += spent
         print(f"{'FAIL' if problem else 'ok' if key in ORACLE else 'ran':4} {key:28} {len(got):8} {spent:6.1f}s {problem}")
+    print(f"{failures} failures, {seconds:.0f} s in Spark")
     return failures
 
 
