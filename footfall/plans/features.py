@@ -81,9 +81,8 @@ def feature_columns() -> list[Column | str]:
     ]
 
 
-def location_dimension(tables: dict[str, DataFrame], as_of: date) -> DataFrame:
+def location_dimension(tables: dict[str, DataFrame], profile: DataFrame) -> DataFrame:
     """Everything known per location, for locations with all key attributes."""
-    profile = dimensions.location_profile(tables["locations"], tables["staff_locations"], tables["staff"], as_of)
     account = dimensions.account_profile(tables["locations"], tables["crm_account"])
     offered = dimensions.services_per_location(tables["locations"], tables["services"])
     capacity = dimensions.scheduled_capacity(tables["staff_locations"], tables["staff"])
@@ -106,10 +105,14 @@ def feature_table(
 
     The daily panel feeds five branches (own history, two markets, messages,
     spine). It is cut once, so the fact tables are scanned and shuffled once.
+    The location profile is cut as well: its stored size tells Catalyst whether
+    the market joins may broadcast it.
     Day bounds apply after the windows: early rows still see earlier history.
     """
     daily = cut(demand_from_sources(tables))
-    profile = dimensions.location_profile(tables["locations"], tables["staff_locations"], tables["staff"], as_of)
+    profile = cut(
+        dimensions.location_profile(tables["locations"], tables["staff_locations"], tables["staff"], as_of)
+    )
     markets = market_features(daily, profile, calendar)
     messages = dimensions.messages_daily(tables["marketing_email"], tables["marketing_sms"])
     sent = dimensions.message_window(daily, messages)
@@ -126,7 +129,7 @@ def feature_table(
     # The panel keeps the placement of its windows for the menu, then moves once
     # for what is known per location and day and once for the markets. No move
     # is by location alone, so a location with very many rows stays spread out.
-    located_days = sent.join(location_dimension(tables, as_of), "location_id")
+    located_days = sent.join(location_dimension(tables, profile), "location_id")
     located = (
         panel.join(menu, ["location_id", "service_category"], "left")
         .join(located_days, ["location_id", DAY])
