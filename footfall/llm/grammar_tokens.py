@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents
-from .tokens import Encoder
+from .tokens import encoder
 
 SHARD_TOKENS = 1 << 20
 ROUNDS = 5
@@ -169,13 +169,13 @@ def _write(tokenizer: str | None, end_id: int, shard_tokens: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer)
-        first_rule = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
+        known = encoder(tokenizer)
+        first_rule = max(known.tokenizer.get_vocab_size(), end_id + 1)
         part, number, before, held, doc_ids, texts = 0, 0, 0, 0, [], []
         for frame in frames:
             for part_id, doc_id, text in zip(frame["part"], frame["doc_id"], frame["text"]):
                 part = int(part_id)
-                texts.append(encoder.ids(text if isinstance(text, str) else None) + end)
+                texts.append(known.ids(text if isinstance(text, str) else None) + end)
                 doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
                 held += len(texts[-1]) // 4
                 if held >= shard_tokens:

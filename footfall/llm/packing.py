@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import documents
-from .tokens import Encoder
+from .tokens import encoder
 
 CAPACITY = 4096
 OPEN_BINS = 2048
@@ -36,11 +36,11 @@ def _cut(tokenizer: str | None, capacity: int, end_id: int, with_ids: bool):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer)
+        known = encoder(tokenizer)
         for frame in frames:
             rows = []
             for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                ids = encoder.ids(text if isinstance(text, str) else None) + end
+                ids = known.ids(text if isinstance(text, str) else None) + end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     row = (doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part))

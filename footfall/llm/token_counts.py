@@ -17,16 +17,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tokens import Encoder
+from .tokens import encoder
 
 SPAN = 1024
 
 
 def _lengths(tokenizer: str | None):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer)
+        known = encoder(tokenizer)
         for frame in frames:
-            sizes = [len(encoder.ids(text if isinstance(text, str) else None)) // 4 for text in frame["text"]]
+            sizes = [len(known.ids(text if isinstance(text, str) else None)) // 4 for text in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "grp": frame["grp"], "length": sizes})
 
     return run

@@ -34,6 +34,17 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
+_READY: dict[str, "Encoder"] = {}
+
+
+def encoder(path: str | None = None) -> "Encoder":
+    """The worker process's encoder for that file; tasks that follow each other there share its dictionaries."""
+    path = path or default_path()
+    if path not in _READY:
+        _READY[path] = Encoder(path)
+    return _READY[path]
+
+
 class Encoder:
     """`ids(text)`: the text's ids, without special tokens added, as little-endian unsigned 32-bit integers."""
 
