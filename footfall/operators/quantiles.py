@@ -13,7 +13,7 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CELLS = 4096
@@ -30,7 +30,8 @@ def _narrow(values: DataFrame, spans: list[tuple[float, float]]) -> list[list[tu
     low, high = (
         F.element_at(F.array(*[F.lit(span[side]) for span in spans]), F.col("span") + 1) for side in (0, 1)
     )
-    share = F.when(high > low, (v - low) / (high - low)).otherwise(F.lit(0.0))
+    # Halves, so that the width of a span never overflows.
+    share = F.when(high > low, (v / 2 - low / 2) / (high / 2 - low / 2)).otherwise(F.lit(0.0))
     cell = F.least(F.floor(share * CELLS), F.lit(CELLS - 1))
     cells = (
         values.withColumn("span", span_id)
@@ -45,9 +46,13 @@ def _narrow(values: DataFrame, spans: list[tuple[float, float]]) -> list[list[tu
     return found
 
 
+def _finite() -> Column:
+    return F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") != F.lit(math.inf))
+
+
 def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], bounds: tuple[float, float]) -> dict[int, float]:
-    """Value at each zero-based rank of the sorted non-null `column`."""
-    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
+    """Value at each zero-based rank of the sorted finite values of `column`."""
+    values = df.select(F.col(column).cast("double").alias("v")).where(_finite())
     answers: dict[int, float] = {}
     # span -> the wanted ranks inside it, counted from the span's first row
     open_spans = {bounds: {rank: rank for rank in ranks}}
@@ -65,6 +70,8 @@ def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], bounds: t
                         answers[rank] = least
                     elif offset == before + n - 1:
                         answers[rank] = greatest
+                    elif (least, greatest) == span:
+                        raise ArithmeticError(f"the span {span} of {column} cannot be narrowed")
                     else:
                         narrower.setdefault((least, greatest), {})[rank] = offset - before
                 before += n
@@ -81,17 +88,34 @@ def quantiles_with_count(df: DataFrame, column: str, levels_for) -> tuple[list[f
     """As `exact_quantiles`, for levels that depend on the number of values."""
     value = F.col(column).cast("double")
     present = df.select(value.alias("v")).where("v is not null and not isnan(v)")
-    summary = present.agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
+    summary = present.agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("v") == F.lit(-math.inf)).alias("below"),
+        F.count_if(F.col("v") == F.lit(math.inf)).alias("above"),
+        F.min(F.when(_finite(), F.col("v"))).alias("low"),
+        F.max(F.when(_finite(), F.col("v"))).alias("high"),
+    ).first()
     n = summary["n"]
     if n == 0:
         return [None for _ in levels_for(0)], 0
     levels = list(levels_for(n))
     positions = [(n - 1) * level for level in levels]
     ranks = {r for p in positions for r in (math.floor(p), min(math.floor(p) + 1, n - 1))}
-    at = order_statistics(df, column, sorted(ranks), (summary["low"], summary["high"]))
+    # Infinite values take the first and last ranks; only finite ones are narrowed down to.
+    below, finite = summary["below"], n - summary["below"] - summary["above"]
+    at = {r: -math.inf for r in ranks if r < below} | {r: math.inf for r in ranks if r >= below + finite}
+    inner = sorted(r - below for r in ranks - at.keys())
+    if inner:
+        found = order_statistics(df, column, inner, (summary["low"], summary["high"]))
+        at |= {r + below: value for r, value in found.items()}
     result = []
     for position in positions:
-        below = math.floor(position)
-        lower, upper = at[below], at[min(below + 1, n - 1)]
-        result.append(lower + (upper - lower) * (position - below))
+        rank = math.floor(position)
+        lower, upper, part = at[rank], at[min(rank + 1, n - 1)], position - rank
+        if part == 0 or lower == upper:
+            result.append(lower)
+        elif math.isfinite(upper - lower):
+            result.append(lower + (upper - lower) * part)
+        else:
+            result.append(lower * (1 - part) + upper * part)
     return result, n

@@ -40,6 +40,17 @@ def fit_vocabularies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return numbered.join(starts, ["feature", "prefix"]).select("feature", "category", code.alias("code"))
 
 
+def target_means(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
+    """One row per distinct category of each column: `feature`, `category`, `code`, the mean of `target` there.
+
+    Trees read only the order of an input, so this is the rank of the mean
+    without a sort; categories with equal means share a value.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), category_text(c).alias("category")) for c in columns])
+    rows = df.where(F.col(target).isNotNull()).select(F.inline(pairs), F.col(target).cast("double").alias("_target"))
+    return rows.groupBy("feature", "category").agg(F.avg("_target").alias("code"))
+
+
 def vocabulary_of(vocabularies: DataFrame, column: str) -> DataFrame:
     return vocabularies.where(F.col("feature") == column).select("category", "code")
 

@@ -25,7 +25,8 @@ def market_daily(daily: DataFrame, profile: DataFrame, market: str) -> DataFrame
         .join(members, "location_id")
         .groupBy(market, "service_category", DAY)
         .agg(
-            F.countDistinct("location_id").alias("num_locations"),
+            # The panel has one row per location, category and day.
+            F.count("*").alias("num_locations"),
             F.sum("demand_count").alias("demand_count"),
             F.sum("provider_hours_demanded").alias("hours_demanded"),
         )

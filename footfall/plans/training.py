@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.errors import ALPHA, conformal_quantile, coverage, error_columns, error_metrics
-from ..operators.vocabulary import encode, fit_vocabularies, vocabulary_of
+from ..operators.vocabulary import encode, target_means, vocabulary_of
 from ..session import cut, ensure_checkpoint_dir
 from ..sources.sinks import append_rows, path_exists, replace_table
 
@@ -34,8 +34,8 @@ NUMERIC_INPUTS = (
 CATEGORY_INPUTS = ("service_category", "location_city", "sf_segment", "sf_industry")
 # Spark trees take no missing values: a value below all others lets one split set them apart.
 MISSING_NUMBER = -1.0e9
-# Larger vocabularies enter the trees as ordered codes, which need no bin per category.
-MAX_NOMINAL = 512
+# Histogram bins of every input, at any vocabulary size.
+MAX_BINS = 256
 
 
 @dataclass(frozen=True)
@@ -59,14 +59,13 @@ class Boosting:
 class DemandModel:
     pipeline: PipelineModel
     vocabularies: DataFrame
-    sizes: dict[str, int]
     conformal_q: float = 0.0
     version: str = ""
     metrics: dict[str, float] = field(default_factory=dict)
 
     def predict(self, df: DataFrame) -> DataFrame:
         """`df` with the column `prediction`."""
-        encoded = with_model_inputs(df, self.vocabularies, self.sizes)
+        encoded = with_model_inputs(df, self.vocabularies)
         scored = self.pipeline.transform(encoded)
         return scored.select(*df.columns, "prediction")
 
@@ -88,36 +87,41 @@ def time_blocks(df: DataFrame, day: str, blocks: int) -> DataFrame:
     """Per day: rows, rows before it, and its block out of `blocks` of about equal size.
 
     Fold k of the expanding-window validation trains on the blocks before k and
-    validates on block k. The running sum covers one row per day.
+    validates on block k. A day is never split; where one holds more than a
+    block's rows, later blocks start later, so every block has a day as long as
+    there are days enough. The running sums cover one row per day.
     """
     per_day = df.groupBy(day).agg(F.count("*").alias("n_rows"))
     ordered = Window.orderBy(day)
     before = F.coalesce(F.sum("n_rows").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counted = per_day.withColumn("rows_before", before)
     total = per_day.agg(F.sum("n_rows")).scalar()
-    block = F.floor(F.col("rows_before") * F.lit(blocks) / total)
-    return counted.withColumn("block", block.cast("int"))
+    position = F.row_number().over(ordered) - 1
+    even = F.floor(F.col("rows_before") * F.lit(blocks) / total)
+    counted = counted.withColumns({"_at": position, "_ahead": even - position})
+    # No step of more than one block from day to day, and no more blocks left than days.
+    stepped = F.col("_at") + F.min("_ahead").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    days = per_day.agg(F.count("*")).scalar()
+    block = F.greatest(stepped, F.lit(blocks) - (days - F.col("_at")), F.lit(0))
+    return counted.withColumn("block", block.cast("int")).drop("_at", "_ahead")
 
 
-def with_model_inputs(df: DataFrame, vocabularies: DataFrame, sizes: dict[str, int]) -> DataFrame:
-    """Adds `n_*` numeric and `c_*` coded columns ready for the vector assembler."""
+def with_model_inputs(df: DataFrame, vocabularies: DataFrame) -> DataFrame:
+    """Adds `n_*` numeric and `c_*` category columns ready for the vector assembler.
+
+    A category enters as the mean target of its training rows, one ordered
+    number at any vocabulary size; an unseen one is a missing number.
+    """
     numbers = {f"n_{c}": F.coalesce(F.col(c).cast("double"), F.lit(MISSING_NUMBER)) for c in NUMERIC_INPUTS}
     df = df.withColumns(numbers)
     for column in CATEGORY_INPUTS:
-        size = sizes[column]
         df = encode(df, column, vocabulary_of(vocabularies, column), f"c_{column}")
-        code = F.coalesce(F.col(f"c_{column}"), F.lit(size)).cast("double")
-        if size < MAX_NOMINAL:
-            nominal = {"ml_attr": {"type": "nominal", "name": f"c_{column}", "num_vals": size + 1}}
-            df = df.withColumn(f"c_{column}", code).withMetadata(f"c_{column}", nominal)
-        else:
-            df = df.withColumn(f"c_{column}", code)
+        df = df.withColumn(f"c_{column}", F.coalesce(F.col(f"c_{column}"), F.lit(MISSING_NUMBER)))
     return df
 
 
-def _pipeline(boosting: Boosting, sizes: dict[str, int]) -> Pipeline:
+def _pipeline(boosting: Boosting) -> Pipeline:
     inputs = [f"n_{c}" for c in NUMERIC_INPUTS] + [f"c_{c}" for c in CATEGORY_INPUTS]
-    nominal_sizes = [size + 1 for size in sizes.values() if size < MAX_NOMINAL]
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=inputs, outputCol="inputs"),
@@ -128,7 +132,7 @@ def _pipeline(boosting: Boosting, sizes: dict[str, int]) -> Pipeline:
                 minInstancesPerNode=boosting.min_rows_per_leaf,
                 stepSize=boosting.rate,
                 maxIter=boosting.rounds,
-                maxBins=max([32, *nominal_sizes]),
+                maxBins=MAX_BINS,
                 seed=boosting.seed,
             ),
         ]
@@ -136,28 +140,27 @@ def _pipeline(boosting: Boosting, sizes: dict[str, int]) -> Pipeline:
 
 
 def fit(train: DataFrame, boosting: Boosting) -> DemandModel:
-    """Vocabularies and trees of one training table."""
+    """Category means and trees of one training table."""
     ensure_checkpoint_dir(train.sparkSession)
-    vocabularies = cut(fit_vocabularies(train, CATEGORY_INPUTS))
-    counted = vocabularies.groupBy("feature").count().collect()
-    sizes = {c: 0 for c in CATEGORY_INPUTS} | {r["feature"]: r["count"] for r in counted}
-    return _fit_with(train, vocabularies, sizes, boosting)
+    vocabularies = cut(target_means(train, CATEGORY_INPUTS, TARGET))
+    return DemandModel(_pipeline(boosting).fit(with_model_inputs(train, vocabularies)), vocabularies)
 
 
-def _fit_with(train, vocabularies, sizes, boosting) -> DemandModel:
-    encoded = with_model_inputs(train, vocabularies, sizes)
-    return DemandModel(_pipeline(boosting, sizes).fit(encoded), vocabularies, sizes)
+def check_days(train: DataFrame, folds: int = 2) -> None:
+    """Validation needs a day for each block; fails before anything is fitted."""
+    days = train.select(DAY).distinct().limit(folds + 1).count()
+    if days < folds + 1:
+        raise ValueError(f"{folds} folds need at least {folds + 1} training days, there are {days}")
 
 
-def cross_validate(train: DataFrame, model: DemandModel, boosting: Boosting, folds: int = 2) -> dict[str, float]:
-    """Mean errors of expanding-window validation by date, on the final vocabularies."""
+def cross_validate(train: DataFrame, boosting: Boosting, folds: int = 2) -> dict[str, float]:
+    """Mean errors of expanding-window validation by date; each fold has category means of its own training rows."""
+    check_days(train, folds)
     blocks = cut(time_blocks(train, DAY, folds + 1).select(DAY, "block"))
     labelled = cut(train.join(blocks, DAY))
     totals: dict[str, float] = {}
     for fold in range(1, folds + 1):
-        fitted = _fit_with(
-            labelled.where(F.col("block") < fold).drop("block"), model.vocabularies, model.sizes, boosting
-        )
+        fitted = fit(labelled.where(F.col("block") < fold).drop("block"), boosting)
         scored = fitted.predict(labelled.where(F.col("block") == fold))
         measured = scored.agg(*[c.alias(n) for n, c in error_columns(TARGET, "prediction", 0.0).items()]).first()
         for name, value in measured.asDict().items():
@@ -165,10 +168,14 @@ def cross_validate(train: DataFrame, model: DemandModel, boosting: Boosting, fol
     return {name: round(value, 4) for name, value in totals.items()}
 
 
+def version_number(column: str) -> Column:
+    """The number of a name like `V12`, NULL for any other name."""
+    return F.regexp_extract(column, r"^V*(\d+)$", 1).try_cast("bigint")
+
+
 def next_version(names: DataFrame, column: str, by: tuple[str, ...] = ()) -> DataFrame:
     """`V` and one more than the largest number among names like `V12`; `V1` if there are none."""
-    number = F.regexp_extract(column, r"^V*(\d+)$", 1).try_cast("bigint")
-    latest = F.coalesce(F.max(number), F.lit(0))
+    latest = F.coalesce(F.max(version_number(column)), F.lit(0))
     return names.groupBy(*by).agg(F.concat(F.lit("V"), (latest + 1).cast("string")).alias("next_version"))
 
 
@@ -214,7 +221,7 @@ class ModelStore:
 
     REGISTRY_COLUMNS = (
         "version string, trained_at timestamp, conformal_q double, alpha double, n_calibration bigint, "
-        "coverage_pct double, metrics map<string,double>, sizes map<string,int>, comment string"
+        "coverage_pct double, metrics map<string,double>, comment string"
     )
 
     def __init__(self, spark: SparkSession, root: str):
@@ -233,8 +240,8 @@ class ModelStore:
         return next_version(self.registry(), "version").first()["next_version"]
 
     def last_version(self) -> str | None:
-        number = F.regexp_extract("version", r"(\d+)$", 1).try_cast("bigint")
-        latest = self.registry().orderBy(number.desc()).select("version").first()
+        number = version_number("version")
+        latest = self.registry().where(number.isNotNull()).orderBy(number.desc()).select("version").first()
         return latest and latest["version"]
 
     def save_files(self, model: DemandModel, version: str) -> str:
@@ -246,10 +253,10 @@ class ModelStore:
 
     def register(self, model: DemandModel, alpha: float, n_calibration: int, covered: float, comment: str) -> None:
         row = (
-            model.version, model.conformal_q, alpha, n_calibration, covered, model.metrics, model.sizes, comment,
+            model.version, model.conformal_q, alpha, n_calibration, covered, model.metrics, comment,
         )
         names = "version string, conformal_q double, alpha double, n_calibration bigint, coverage_pct double, " \
-            "metrics map<string,double>, sizes map<string,int>, comment string"
+            "metrics map<string,double>, comment string"
         entry = self.spark.createDataFrame([row], names).withColumn("trained_at", F.current_timestamp())
         append_rows(entry.coalesce(1), self.registry_path)
 
@@ -263,7 +270,6 @@ class ModelStore:
         return DemandModel(
             pipeline=PipelineModel.load(f"{path}/pipeline"),
             vocabularies=self.spark.read.parquet(f"{path}/vocabularies"),
-            sizes=dict(entry["sizes"]),
             conformal_q=entry["conformal_q"],
             version=version,
             metrics=dict(entry["metrics"]),
@@ -286,8 +292,12 @@ def train(
     training = labelled.where("split = 'train'").drop("split")
     test = labelled.where("split = 'test'").drop("split")
 
+    if validate:
+        check_days(training)
     model = fit(training, boosting)
     scored = cut(model.predict(test).select(TARGET, "prediction"))
+    if not scored.where("prediction is null or isnan(prediction)").isEmpty():
+        raise ValueError("the fitted model gives test rows no number; nothing is stored")
     measured = error_metrics(scored, TARGET, "prediction").drop("n_rows").first().asDict()
     q, n_calibration = conformal_quantile(scored, TARGET, "prediction", alpha)
     if q is None:
@@ -297,7 +307,7 @@ def train(
     model.conformal_q = q
     model.metrics = dict(measured)
     if validate:
-        model.metrics.update(cross_validate(training, model, boosting))
+        model.metrics.update(cross_validate(training, boosting))
     model.version = store.next_version()
     path = store.save_files(model, model.version)
     weights = importance(split_nodes(spark, model, path), [*NUMERIC_INPUTS, *CATEGORY_INPUTS])

@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Spark's own adaptive machinery does the sizing, the skew splitting and the
-# broadcast decisions; nothing in this package forces a broadcast.
+# broadcast decisions; the only forced broadcast is a table with a row per
+# calendar day (operators/nearby.py).
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -32,7 +32,8 @@ def write_sorted(df: DataFrame, path: str, month_of: str, order_by: Sequence[str
     Rows are spread by range over month and sort keys, so a large month takes
     several tasks and files, and no single task sorts the whole table.
     """
-    staged = df.withColumn("month", F.date_format(month_of, "yyyy-MM"))
+    # Ranges are found by a pass of their own; reading files, it does not compute the table twice.
+    staged = cut(df.withColumn("month", F.date_format(month_of, "yyyy-MM")))
     ordered = staged.repartitionByRange("month", *order_by).sortWithinPartitions("month", *order_by)
     replace_table(ordered, path, ["month"])
 
@@ -59,5 +60,6 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], day: str) -> None:
         old = spark.read.schema(new.schema).parquet(path).where(F.col(day).between(span["first"], span["last"]))
         touched = old.join(new.select(day).distinct(), [day], "left_semi")
         new = cut(merge_by_key(touched, new, keys))
-    writer = new.repartition(day, *keys).write.mode("overwrite")
+    # By range, a day's rows lie in few tasks, so a day folder gets few files.
+    writer = new.repartitionByRange(day, *keys).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)

@@ -102,3 +102,36 @@ def test_split_label(spark):
     df = spark.createDataFrame([(date(2026, 1, d),) for d in range(1, 7)], "d date").orderBy("d")
     labels = [r[0] for r in df.select(training.split_label(F.col("d"), windows)).collect()]
     assert labels == ["train", "train", None, "test", "test", None]
+
+
+def error_of(scored):
+    return scored.agg(F.sqrt(F.avg((F.col("prediction") - F.col(training.TARGET)) ** 2))).first()[0]
+
+
+def _panel(spark, rows):
+    """Training rows (day, city, target); all other inputs are missing."""
+    df = spark.createDataFrame(rows, "target_date date, location_city string, provider_hours_demanded double")
+    numbers = {c: F.lit(None).cast("double") for c in training.NUMERIC_INPUTS}
+    texts = {c: F.lit(None).cast("string") for c in training.CATEGORY_INPUTS if c != "location_city"}
+    return df.withColumns(numbers | texts)
+
+
+@pytest.mark.parametrize("cities", [500, 600, 2000])
+def test_category_means_carry_a_target_at_any_size(spark, cities):
+    rows = [(day("2026-01-01"), f"city {i * 7919 % cities}", float(i % 10) * 10) for i in range(cities) for _ in range(6)]
+    data = _panel(spark, rows)
+    model = training.fit(data, training.Boosting(rounds=10, rate=0.5))
+    assert error_of(model.predict(data)) < 1.0
+    unseen = model.predict(_panel(spark, [(day("2026-01-02"), "nowhere", 0.0), (day("2026-01-02"), None, 0.0)]))
+    assert unseen.where("isnan(prediction) or prediction is null").isEmpty()
+
+
+def test_blocks_with_a_heavy_day(spark):
+    heavy = [(day("2026-01-03"), "a", 1.0)] * 90 + [(day(f"2026-01-0{i}"), "a", 1.0) for i in (1, 2, 4, 5, 6)]
+    blocks = [r["block"] for r in training.time_blocks(_panel(spark, heavy), "target_date", 3).orderBy("target_date").collect()]
+    assert blocks == sorted(blocks) and set(blocks) == {0, 1, 2}
+    measured = training.cross_validate(_panel(spark, heavy), training.Boosting(rounds=1))
+    assert set(measured) >= {"cv_rmse", "cv_mae"}
+    two_days = _panel(spark, [(day("2026-01-01"), "a", 1.0), (day("2026-01-02"), "a", 1.0)])
+    with pytest.raises(ValueError, match="training days"):
+        training.cross_validate(two_days, training.Boosting(rounds=1))

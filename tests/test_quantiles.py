@@ -54,3 +54,17 @@ def test_error_metrics(spark):
     none = errors.error_metrics(df.where("a = 0"), "a", "p").first()
     assert math.isnan(none["wape_pct"]) and math.isnan(none["mape_pct"])
     assert errors.error_metrics(df.where("a = 0"), "a", "p", empty=0.0).first()["wape_pct"] == 0.0
+
+
+def test_infinite_values_and_wide_spans(spark):
+    """Infinite values take the first and last ranks, and a span wider than any number is still narrowed."""
+
+    def at_ranks(values):
+        df = spark.createDataFrame([(float(v),) for v in values], "x double")
+        ranks = [i / (len(values) - 1) for i in range(len(values))]
+        assert exact_quantiles(df, "x", ranks) == sorted(map(float, values))
+
+    at_ranks([1, 2, 3, math.inf, 5])
+    at_ranks([-math.inf, 4, -math.inf, 2, math.inf])
+    at_ranks([math.inf, math.inf, -math.inf])
+    at_ranks([-1.2e308, 1, 2, 3, 1.2e308])

@@ -587,9 +587,20 @@ ORACLE: dict[str, str] = {
     "category_vocabulary": sql(f"select category, code from {VOCABULARY}", "category:t code:i"),
     "category_encode": sql(
         f"""select l_orderkey, l_linenumber, c.category, code from {CATEGORIES} as c
-            left join {VOCABULARY} as v on v.category = c.category where l_shipdate >= date '1995-07-01'""",
+            left join {VOCABULARY} as v on v.category = c.category""",
         "l_orderkey:i l_linenumber:i category:t code:i",
     ),
+    "category_rank": sql(
+        """select l_orderkey, l_linenumber, category, round(value, 6) as value
+            from (select *, case when p_size <> 1 then p_brand || '-' || p_size end as category
+                from lineitem join part on p_partkey = l_partkey)
+            left join (
+                select coalesce(case when p_size <> 1 then p_brand || '-' || p_size end, 'None') as known,
+                    avg(l_quantity) as value
+                from lineitem join part on p_partkey = l_partkey where l_shipdate < date '1992-07-01' group by all)
+            on known = coalesce(category, 'None')""",
+        "l_orderkey:i l_linenumber:i category:t value:d",
+    ),
     "error_metrics": sql(
         f"select service_category, count(*) as n_rows, {ERRORS} from forecast group by all",
         f"service_category:t n_rows:i {ERROR_KINDS}",

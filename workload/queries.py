@@ -378,11 +378,23 @@ def category_vocabulary(spark, sf_dir):
 
 @query
 def category_encode(spark, sf_dir):
-    later = _categories(spark, sf_dir).where(F.col("l_shipdate") >= F.lit(date(1995, 7, 1)))
-    coded = vocabulary.encode(later, "category", _fitted_categories(spark, sf_dir), "code")
+    coded = vocabulary.encode(_categories(spark, sf_dir), "category", _fitted_categories(spark, sf_dir), "code")
     return coded.select("l_orderkey", "l_linenumber", "category", "code")
 
 
+@query
+def category_rank(spark, sf_dir):
+    """The model's category input: mean target of the earlier lines, with unseen and missing categories."""
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), F.when(F.col("p_size") != 1, F.concat_ws("-", "p_brand", "p_size")).alias("category")
+    )
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity")
+    lines = lines.join(parts, "l_partkey")
+    means = vocabulary.target_means(lines.where(F.col("l_shipdate") < F.lit(date(1992, 7, 1))), ["category"], "l_quantity")
+    coded = vocabulary.encode(lines, "category", vocabulary.vocabulary_of(means, "category"), "value")
+    return coded.select("l_orderkey", "l_linenumber", "category", F.round("value", 6).alias("value"))
+
+
 # Predictions ----------------------------------------------------------------------
 
 
