@@ -30,6 +30,8 @@ from .tokens import encoder
 
 CAPACITY = 4096
 OPEN_BINS = 2048
+#: Ids that a task holds before it hands its pieces on; a longer document goes on by itself.
+HELD_IDS = 1 << 19
 
 
 def _cut(tokenizer: str | None, capacity: int, end_id: int, with_ids: bool):
@@ -37,17 +39,25 @@ def _cut(tokenizer: str | None, capacity: int, end_id: int, with_ids: bool):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = encoder(tokenizer)
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
+
+        def made(rows: list) -> pd.DataFrame:
+            return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64", "piece": "int32"})
+
         for frame in frames:
-            rows = []
+            rows, held = [], 0
             for doc_id, text in zip(frame["doc_id"], frame["text"]):
                 ids = known.ids(text if isinstance(text, str) else None) + end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     row = (doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part))
                     rows.append((*row, np.frombuffer(part, dtype="<u4").astype("int32")) if with_ids else row)
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"doc_id": "Int64", "piece": "int32"})
+                held += len(ids) // 4
+                if held >= HELD_IDS:
+                    yield made(rows)
+                    rows, held = [], 0
+            if rows:
+                yield made(rows)
 
     return run
 

@@ -12,7 +12,7 @@ import os
 import re
 
 #: Words that a task remembers; beyond that, those not seen lately are forgotten.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: White space that Python's split() and the tokenizers may see differently; a text with it is split at ASCII space only.
 _UNSURE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 _ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
