@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .tokens import encoder
 
 SPAN = 1024
@@ -45,7 +46,8 @@ def histogram(lengths: DataFrame) -> DataFrame:
 def with_suffix_sums(counts: DataFrame) -> DataFrame:
     """grp, length, n_docs and, for a context limit of `length` tokens: `docs_at_least`, `tokens_at_least` (all tokens of
     those documents), `docs_below`, `tokens_below` and `tokens_truncated` (tokens left if every document is cut there)."""
-    spans = counts.withColumn("span", F.floor(F.col("length") / SPAN))
+    # Read twice below; without the written table every text would be encoded twice.
+    spans = cut(counts).withColumn("span", F.floor(F.col("length") / SPAN))
     tokens = F.col("n_docs") * F.col("length")
     totals = spans.groupBy("grp", "span").agg(F.sum("n_docs").alias("docs"), F.sum(tokens).alias("tokens"))
     later = Window.partitionBy("grp").orderBy(F.col("span").desc()).rowsBetween(Window.unboundedPreceding, -1)
