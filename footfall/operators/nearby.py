@@ -2,7 +2,7 @@
 
 Both are range conditions. They are rewritten so that no join compares all
 pairs: marked days are spread over the days they reach (an equi-join follows),
-and event counts become a day-range window or the same kind of equi-join.
+and event counts become a day-range window.
 """
 
 from __future__ import annotations
@@ -71,32 +71,6 @@ def trailing_counts_by_window(
     return both.select(key, day, "on_spine", *counts).where("on_spine").drop("on_spine")
 
 
-def trailing_counts_by_join(
-    spine: DataFrame,
-    messages: DataFrame,
-    key: str,
-    day: str,
-    spans: Mapping[str, tuple[str | None, int]],
-) -> DataFrame:
-    """Same result as `trailing_counts_by_window`, as an equi-join.
-
-    Each message day is spread over the days that look back on it and summed
-    there before it meets the spine.
-    """
-    longest = max(n for _, n in spans.values())
-    sent = F.col("msg_date")
-    spread = messages.select(
-        key, sent, "channel", "msg_count",
-        F.explode(F.sequence(F.date_add(sent, 1), F.date_add(sent, longest))).alias(day),
-    )
-    age = F.datediff(F.col(day), sent)
-    sums = [F.sum(F.when(age <= n, _count_of(channel))).alias(name) for name, (channel, n) in spans.items()]
-    counted = spread.groupBy(key, day).agg(*sums)
-    filled = [F.coalesce(name, F.lit(0)).alias(name) for name in spans]
-    marked = spine.select(key, day).distinct()
-    return marked.join(counted, [key, day], "left").select(key, day, *filled)
-
-
 def daily_counts(df: DataFrame, keys: Sequence[str], at: str, channel: str) -> DataFrame:
     """Rows per key and day of `at`, tagged with `channel`; rows lacking a key are left out."""
     day = F.col(at).cast("date").alias("msg_date")

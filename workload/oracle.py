@@ -396,7 +396,7 @@ EVENT_COUNTS = sql(
         count(*) filter (event_type = 'click' and cast(ts as date) >= day - 7) as clicks_7,
         count(event_id) as all_30
     from (select distinct user_id, cast(ts as date) as day from events where event_type = 'purchase') as p
-    left join events as e on e.user_id = p.user_id and event_type in ('view', 'click')
+    left join events as e on e.user_id = p.user_id and event_type in ('view', 'click', 'signup', 'error')
         and cast(ts as date) < day and cast(ts as date) >= day - 30
     group by all""",
     "user_id:i day:t views_30:i clicks_7:i all_30:i",

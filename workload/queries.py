@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,14 +165,15 @@ def _event_inputs(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     day = F.col("ts").cast("date").alias("day")
     spine = events.where("event_type = 'purchase'").select("user_id", day)
-    messages = [nearby.daily_counts(events.where(f"event_type = '{c}'"), ["user_id"], "ts", c) for c in ("view", "click")]
+    kinds = ("view", "click", "signup", "error")
+    messages = [nearby.daily_counts(events.where(f"event_type = '{c}'"), ["user_id"], "ts", c) for c in kinds]
     spans = {"views_30": ("view", 30), "clicks_7": ("click", 7), "all_30": (None, 30)}
-    return spine, messages[0].unionByName(messages[1]), "user_id", "day", spans
+    return spine, reduce(DataFrame.unionByName, messages), "user_id", "day", spans
 
 
 @query
 def trailing_event_counts(spark, sf_dir):
-    return nearby.trailing_counts_by_join(*_event_inputs(spark, sf_dir))
+    return nearby.trailing_counts_by_window(*_event_inputs(spark, sf_dir))
 
 
 @query
