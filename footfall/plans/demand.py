@@ -110,11 +110,12 @@ def _over_options(part: str):
     return F.col("option_rows") * F.col(part) + F.col(f"{part}_delta")
 
 
-def daily_demand(visits: DataFrame, lines: DataFrame) -> DataFrame:
+def daily_demand(visited_lines: DataFrame) -> DataFrame:
     """One row per location, category and day: counts, behaviour and hours.
 
-    Every input row stands for `copies * option_rows` identical rows of the
-    plain join, so all sums carry that weight and agree with it exactly.
+    Every line of a visit, with its option sums, stands for `copies * option_rows`
+    identical rows of the plain join, so all sums carry that weight and agree with
+    it exactly.
     """
     copies = F.col("copies")
     weight = copies * F.col("option_rows")
@@ -129,8 +130,7 @@ def daily_demand(visits: DataFrame, lines: DataFrame) -> DataFrame:
         + after_client
     )
     return (
-        lines.join(visits, "appointment_id")
-        .groupBy(*PANEL_KEYS)
+        visited_lines.groupBy(*PANEL_KEYS)
         .agg(
             F.sum(weight).alias("demand_count"),
             weighted_mean(weight * lead_days, lead_days, weight).alias("avg_lead_time_days"),
@@ -148,19 +148,24 @@ def daily_demand(visits: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def booked_lines(tables: Mapping[str, DataFrame]) -> DataFrame:
-    labelled = with_service_label(
+def labelled_lines(tables: Mapping[str, DataFrame]) -> DataFrame:
+    return with_service_label(
         tables["appointment_services"],
         tables["services"],
         tables["service_categories"],
         tables["service_categories_curated"],
     )
-    return with_options(labelled, tables["appointment_service_options"])
+
+
+def booked_lines(tables: Mapping[str, DataFrame]) -> DataFrame:
+    return with_options(labelled_lines(tables), tables["appointment_service_options"])
 
 
 def demand_from_sources(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Visits come before options: lines of visits that do not count never move to the option join."""
     visits = qualifying_visits(tables["appointments"], tables["appointment_cancellations"])
-    return daily_demand(visits, booked_lines(tables))
+    visited = labelled_lines(tables).join(visits, "appointment_id")
+    return daily_demand(with_options(visited, tables["appointment_service_options"]))
 
 
 LAGS = (7, 14, 28, 364)

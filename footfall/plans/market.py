@@ -33,6 +33,13 @@ def market_daily(daily: DataFrame, profile: DataFrame, market: str) -> DataFrame
     )
 
 
+def widened(narrow: DataFrame) -> DataFrame:
+    """Totals of the wide market from those of the narrow one: a location has one postal code, a code one prefix."""
+    totals = ("num_locations", "demand_count", "hours_demanded")
+    prefix = F.left("location_zip", F.lit(ZIP3_LENGTH)).alias("location_zip3")
+    return narrow.groupBy(prefix, "service_category", DAY).agg(*[F.sum(c).alias(c) for c in totals])
+
+
 def market_rolling(totals: DataFrame, market: str, prefix: str, calendar: bool = False) -> DataFrame:
     """Trailing windows over market days, columns named `prefix_*`. Totals include every member."""
     series = Series((market, "service_category"), DAY, calendar)
@@ -47,11 +54,13 @@ def market_rolling(totals: DataFrame, market: str, prefix: str, calendar: bool =
 def market_features(daily: DataFrame, profile: DataFrame, calendar: bool = False) -> DataFrame:
     """Windows of both market levels, one row per postal code, category and day.
 
-    Every postal code lies in one prefix, so the wide market is attached to the
-    narrow one and the far larger location panel is joined only once.
+    Every postal code lies in one prefix, so the wide totals are sums of the narrow
+    ones, the wide market is attached to the narrow one, and the far larger location
+    panel is read, joined and moved once for both.
     """
-    narrow = market_rolling(market_daily(daily, profile, "location_zip"), "location_zip", "zip", calendar)
-    wide = market_rolling(market_daily(daily, profile, "location_zip3"), "location_zip3", "zip3", calendar)
+    totals = market_daily(daily, profile, "location_zip")
+    narrow = market_rolling(totals, "location_zip", "zip", calendar)
+    wide = market_rolling(widened(totals), "location_zip3", "zip3", calendar)
     prefix = F.left("location_zip", F.lit(ZIP3_LENGTH))
     return narrow.withColumn("location_zip3", prefix).join(
         wide, ["location_zip3", "service_category", DAY], "left"

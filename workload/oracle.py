@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from footfall.plans.training import CATEGORY_INPUTS, NUMERIC_INPUTS
+
 from .tidy import tidy_sql
 
 QUARTERS = ", ".join(
@@ -369,6 +371,50 @@ ROLLED = f"{PANEL} " + kinds(
 )
 
 
+# A single split over all model inputs: the cut with the least squared error, found by running sums per input.
+TRAIN_DAYS = "target_date between date '1996-01-01' and date '2000-06-30'"
+TEST_DAYS = "target_date between date '2000-07-01' and date '2001-12-31'"
+PANEL_ROW = "location_id, service_category, target_date, provider_hours_demanded as y"
+
+
+def listed(names) -> str:
+    return "unnest([" + ", ".join(f"'{name}'" for name in names) + "]) as feature"
+
+
+WHOLE = ", ".join(
+    f"case when {c} is null then -1e9 else least(greatest(round(round(cast({c} as double), 6)), -20), 200) end"
+    for c in NUMERIC_INPUTS
+)
+AS_TEXT = ", ".join(f"coalesce(cast({c} as varchar), 'None')" for c in CATEGORY_INPUTS)
+CTES["stump_category"] = f"""
+    select {PANEL_ROW}, {listed(CATEGORY_INPUTS)}, unnest([{AS_TEXT}]) as category from features"""
+CTES["stump_mean"] = f"""
+    select feature, category, avg(y) as value from stump_category where {TRAIN_DAYS} group by all"""
+CTES["stump_input"] = f"""
+    select {PANEL_ROW}, {listed(NUMERIC_INPUTS)}, unnest([{WHOLE}]) as value from features
+    union all
+    select c.location_id, c.service_category, c.target_date, c.y, c.feature, coalesce(m.value, -1e9)
+    from stump_category as c left join stump_mean as m on m.feature = c.feature and m.category = c.category"""
+CTES["stump_cell"] = f"""
+    select feature, value, count(*) as n, sum(y) as s from stump_input where {TRAIN_DAYS} group by all"""
+CTES["stump_run"] = """
+    select feature, value, lead(value) over w as following, sum(n) over w as left_n, sum(s) over w as left_s,
+        sum(n) over (partition by feature) - sum(n) over w as right_n,
+        sum(s) over (partition by feature) - sum(s) over w as right_s
+    from stump_cell window w as (partition by feature order by value)"""
+CTES["stump_split"] = """
+    select feature, (value + following) / 2 as threshold, left_s / left_n as low, right_s / right_n as high
+    from stump_run where following is not null and left_n >= 5 and right_n >= 5
+    order by left_s * left_s / left_n + right_s * right_s / right_n desc, feature, value limit 1"""
+CTES["stump_forecast"] = f"""
+    select location_id, service_category, cast(target_date as timestamp) as prediction_timestamp, y as actual,
+        case when value <= threshold then low else high end as predicted
+    from stump_input as i join stump_split as t on t.feature = i.feature where {TEST_DAYS}"""
+CTES["stump_residual"] = CTES["residual"].replace("from forecast", "from stump_forecast")
+CTES["stump_spot"] = CTES["spot"].replace("from residual", "from stump_residual")
+CTES["stump_q"] = CTES["q"].replace("from spot", "from stump_spot")
+
+
 def sql(final: str, columns: str) -> str:
     """`final` with the common table expressions it needs, tidied."""
     needed: list[str] = []
@@ -633,6 +679,26 @@ ORACLE: dict[str, str] = {
             order by importance_gain desc, feature limit 10""",
         "feature:t importance_gain:d importance_split:d importance_gain_pct:d importance_split_pct:d",
     ),
+    "train_score": sql(
+        f"select service_category, count(*) as n_rows, {ERRORS} from stump_forecast group by all",
+        f"service_category:t n_rows:i {ERROR_KINDS}",
+    ),
+    "batch_score": sql(
+        """select f.*, greatest(predicted - q, 0) as pred_lower_05, predicted + q as pred_upper_95
+            from stump_forecast as f, (select q from stump_q)""",
+        PREDICTION,
+    ),
+    "training_run": sql(
+        f"select 'V1' as version, {ERRORS}, round((select q from stump_q), 4) as conformal_q from stump_forecast",
+        f"version:t {ERROR_KINDS} conformal_q:d",
+    ),
+    "importance_trees": sql(
+        f"""select feature, cast(chosen as double) as importance_split, 100.0 * chosen as importance_gain_pct,
+            100.0 * chosen as importance_split_pct
+            from (select feature, cast(feature = (select feature from stump_split) as integer) as chosen
+                from (select {listed([*NUMERIC_INPUTS, *CATEGORY_INPUTS])}))""",
+        "feature:t importance_split:d importance_gain_pct:d importance_split_pct:d",
+    ),
     "incremental_rows": of("daily", DAILY, "where target_date >= date '1999-01-01'"),
     "upsert_by_key": sql(
         """select location_id, service_category, target_date,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
@@ -14,7 +15,7 @@ from footfall.operators import errors, nearby, vocabulary
 from footfall.operators.checks import duplicate_keys, null_rows
 from footfall.operators.trailing import Series
 from footfall.plans import demand, dimensions, features, market, monitoring, scoring, training
-from footfall.session import cut
+from footfall.session import cut, ensure_checkpoint_dir
 from footfall.sources.literals import literal_ids
 from footfall.sources.sinks import merge_by_key
 
@@ -511,27 +512,55 @@ def check_not_null(spark, sf_dir):
     return null_rows(visits, ["source", "client_id"]).select("id", "source", "client_id")
 
 
-# The model (no SQL equivalent) ---------------------------------------------------------
+# The model --------------------------------------------------------------------------
 
-QUICK = training.Boosting(rounds=5)
+# One round of one split: SQL can find the best split and both leaf means.
+STUMP = training.Boosting(depth=1, rounds=1)
+FIRST_SCORED = date(2000, 12, 31)
 
 
-def _fitted(spark, sf_dir):
-    rows = cut(feature_rows(spark, sf_dir))
-    model = training.fit(training.training_slice(rows, WINDOWS.train_start, WINDOWS.train_end), QUICK)
-    later = rows.where(F.col(demand.DAY).between(F.lit(WINDOWS.test_start), F.lit(WINDOWS.test_end)))
-    return model, later
+def _folder(spark):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def _trained(spark, sf_dir, validate=False):
+    """Feature rows, a store with one version trained on them, and the run's summary.
+
+    Numbers are whole and bounded, so every distinct value has a histogram bin of its own.
+    """
+    whole = {}
+    for name in training.NUMERIC_INPUTS:
+        number = F.round(F.round(F.col(name).cast("double"), 6))
+        whole[name] = F.when(F.col(name).isNotNull(), F.least(F.greatest(number, F.lit(-20.0)), F.lit(200.0)))
+    rows = cut(feature_rows(spark, sf_dir).withColumns(whole))
+    store = training.ModelStore(spark, _folder(spark))
+    return rows, store, training.train(rows, store, WINDOWS, STUMP, validate=validate)
 
 
 @query
 def train_score(spark, sf_dir):
-    model, later = _fitted(spark, sf_dir)
-    return errors.error_metrics(model.predict(later), training.TARGET, "prediction", ("service_category",))
+    rows, store, _ = _trained(spark, sf_dir)
+    later = rows.where(F.col(demand.DAY).between(F.lit(WINDOWS.test_start), F.lit(WINDOWS.test_end)))
+    return errors.error_metrics(store.load().predict(later), training.TARGET, "prediction", ("service_category",))
 
 
 @query
 def batch_score(spark, sf_dir):
-    model, later = _fitted(spark, sf_dir)
-    scored = cut(model.predict(later))
-    model.conformal_q, _ = errors.conformal_quantile(scored, training.TARGET, "prediction")
-    return scoring.score(later, model)
+    """The last stored version scores the test window in two incremental runs."""
+    rows, store, _ = _trained(spark, sf_dir)
+    path = _folder(spark)
+    scoring.score_incrementally(rows, store.load(), path, WINDOWS.test_start, FIRST_SCORED)
+    return scoring.score_incrementally(rows.where(F.col(demand.DAY) <= F.lit(WINDOWS.test_end)), store.load(), path)
+
+
+@query
+def training_run(spark, sf_dir):
+    return _trained(spark, sf_dir, validate=True)[2].drop("elapsed_s")
+
+
+@query
+def importance_trees(spark, sf_dir):
+    """Importance of all inputs as the training run appended it, from the fitted trees."""
+    _, store, _ = _trained(spark, sf_dir)
+    history = spark.read.parquet(f"{store.root}/feature_importance")
+    return history.select("feature", "importance_split", "importance_gain_pct", "importance_split_pct")
