@@ -4,10 +4,12 @@ A page is read into leaf blocks: runs of text between block-level tags, each wit
 are its ancestors' tags and the words of their class, id and role attributes, its own tag, and the shape of its text.
 The field has two labels (article or not), trained by likelihood gradients on labelled pages and decoded by Viterbi.
 
-Labelled pages: at most TRAINING pages, those with the least hash of `page_id`. A block inside <article> or <main> is
-article. Since real sites mark articles in many ways, each page is also set anew in layouts of several kinds: its
-paragraphs in an article, main, section or div with a usual name, and its menus, notices, adverts, forms, side columns
-and reader comments around and inside it, each with its known label.
+Labelled pages: at most TRAINING pages, those with the least hash of `page_id` among the pages that have text inside
+<article> or <main>; a block inside is article. Pages without such text say nothing about where their article is and are
+not learned from. Since real sites mark articles in many ways, each page is also set anew in layouts of several kinds:
+its paragraphs in an article, main, section or div with a usual name, and its menus, notices, adverts, forms, side
+columns and reader comments around and inside it, each with its known label. Where a table has fewer labelled pages than
+TRAINING, or none, layouts of shipped texts take their place; there the article may also be in a bare section, td or div.
 
 Defined cases: null or empty html has the text "" and 0 characters; markup that never closes is read to the end of the
 page; pages without article blocks give ""; repeated rows are read each; an empty table gives no rows.
@@ -195,7 +197,36 @@ _AROUND = (
 _COMMENTS = ("section id='comments'", "div class='comments'", "div class='comment-list'", "ol class='comments reader'", "div class='discussion replies'")
 
 
-def layouts(article: list[str], other: list[str], chance: random.Random) -> tuple[list[Block], list[int]]:
+#: Names that say nothing; only the layouts of shipped texts use them.
+_BARE = ("section", "td", "td valign='top'", "div", "div")
+#: Features see the shape of a text, not its words.
+_HEADINGS = (
+    "Rain in the valley", "A new bridge for the old town", "What the harvest brought this year", "Notes on repairing clocks", "The library opens again",
+    "How to keep bread fresh", "Letters from the coast", "Results of the spring survey", "Why the river changed its course", "Three walks in the hills",
+)
+_SENTENCES = (
+    "The work began in the first days of March and took longer than anyone had thought.", "Nobody was hurt.", "Most of the visitors come by train, walk along the lake and stay for a night or two.",
+    "In the end the council agreed to pay half of the costs, and the rest came from the people of the village.", "It had rained for a week.", "She kept the old tools in a box under the stairs, oiled and wrapped in cloth.",
+    "A second test gave the same result, which surprised even those who had planned it.", "The road was closed until noon, and the market had to move to the square behind the church.", "Is that too much to ask?",
+    "He learned the trade from his father, who had learned it from a man called Anders.", "Prices rose again, though more slowly than the year before: by two per cent in the towns and by three in the country.", "Let the dough rest for an hour.",
+    "Some of the figures are estimates, since two stations sent no data in the winter months.", "There is more to see than a single day allows.", "After the war the house stood empty, the garden grew wild, and the children of the street made it their own.",
+    "We asked four readers what they thought of it.", "The answer is simple.", "What remains is a wall, a well and a row of trees that somebody must have planted a hundred years ago.",
+)
+_OTHER = (
+    "Home", "News", "About us", "Contact", "Log in", "Terms of use", "Privacy", "Share", "More", "Next page", "Related stories", "Subscribe", "Top of page", "Sports", "Weather", "Archive 2019",
+    "© 2021 The publisher. All rights reserved.", "This site uses cookies. Accept", "Buy now and save 20%", "Posted by guest on Monday", "Sign up for our newsletter and never miss a story", "Advertisement",
+    "Great article, thanks!", "I don't agree with that at all. They said the same last year.", "Only this week: shoes for the whole family at half the price.", "Follow us", "3 comments", "Reply",
+)
+
+
+def shipped(chance: random.Random) -> tuple[list[str], list[str]]:
+    """Texts of an invented article and of what stands around it."""
+    article = [chance.choice(_HEADINGS)] if chance.random() < 0.8 else []
+    article += [" ".join(chance.choices(_SENTENCES, k=chance.randint(1, 6))) for _ in range(chance.randint(2, 12))]
+    return article, chance.sample(_OTHER, chance.randint(5, len(_OTHER)))
+
+
+def layouts(article: list[str], other: list[str], chance: random.Random, main: tuple[str, ...] = _MAIN) -> tuple[list[Block], list[int]]:
     """A page set anew: its blocks and their labels."""
     escape = references.escape
     other = other or ["more"]
@@ -231,7 +262,7 @@ def layouts(article: list[str], other: list[str], chance: random.Random) -> tupl
     after = "".join(aside(o) for o in chance.sample(_AROUND, chance.randint(1, 4)))
     comments = wrap(chance.choice(_COMMENTS), "".join(f"<div class='comment'><p>{escape(line())}</p></div>" for _ in range(chance.randint(1, 5)))) if chance.random() < 0.6 else ""
     inside = chance.random() < 0.3
-    core = wrap(chance.choice(_MAIN), body() + (comments if inside else ""))
+    core = wrap(chance.choice(main), body() + (comments if inside else ""))
     if chance.random() < 0.4:
         core = wrap(chance.choice(("div class='wrapper'", "div id='page'", "main", "div class='container'")), core)
     found = blocks(f"<body>{before}{core}{'' if inside else comments}{after}</body>")
@@ -239,19 +270,26 @@ def layouts(article: list[str], other: list[str], chance: random.Random) -> tupl
     return [block._replace(text=block.text.replace("\x01", "") or "-") for block in found], labels
 
 
+def marked(found: list[Block]) -> list[int]:
+    return [int(any(tag in ("article", "main") for tag, _ in block.path)) for block in found]
+
+
 def fit(pages: list[str], seed: int = 7) -> Field:
-    chance, examples = random.Random(seed), []
+    chance, examples, labelled = random.Random(seed), [], 0
     for page in pages:
         found = blocks(page)
-        labels = [int(any(tag in ("article", "main") for tag, _ in block.path)) for block in found]
-        if not found:
+        labels = marked(found)
+        if not any(labels):
             continue
+        labelled += 1
         examples.append((features(found), labels))
         article, other = [b.text for b, y in zip(found, labels) if y], [b.text for b, y in zip(found, labels) if not y]
-        if article:
-            for _ in range(LAYOUTS):
-                again, marks = layouts(article, other, chance)
-                examples.append((features(again), marks))
+        for _ in range(LAYOUTS):
+            again, marks = layouts(article, other, chance)
+            examples.append((features(again), marks))
+    for _ in range(LAYOUTS * max(0, TRAINING - labelled)):
+        again, marks = layouts(*shipped(chance), chance, _MAIN + _BARE)
+        examples.append((features(again), marks))
     field = Field()
     for epoch in range(EPOCHS):
         chance.shuffle(examples)
@@ -266,8 +304,21 @@ def article_text(page: str | None, field: Field) -> str:
 
 
 def training_pages(pages: DataFrame, most: int = TRAINING) -> list[str]:
-    picked = pages.where("html is not null").select("html", F.xxhash64("page_id").alias("h")).orderBy("h", F.xxhash64("html")).limit(most)
-    return [row["html"] for row in picked.collect()]
+    """Pages with text inside <article> or <main>."""
+    named = pages.where(F.col("html").rlike(r"(?i)<(article|main)(?![A-Za-z0-9:-])")).select("html", F.xxhash64("page_id").alias("h"))
+
+    def first(df: DataFrame) -> list[str]:
+        return [row["html"] for row in df.orderBy("h", F.xxhash64("html")).limit(most).collect()]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame[[any(marked(blocks(page))) for page in frame["html"]]]
+
+    picked = first(named)
+    if all(any(marked(blocks(page))) for page in picked):
+        return picked
+    # Some have the tag in a comment or a script, or without text: only then all are read for it.
+    return first(named.mapInPandas(run, "html string, h long"))
 
 
 def extract(pages: DataFrame, field: Field | None = None) -> DataFrame:

@@ -364,6 +364,29 @@ def test_field_on_held_out_layouts():
     assert right / total > 0.93
 
 
+@pytest.mark.parametrize("core", ["<div class='content'>{}</div>", "<section>{}</section>", "<table><tr><td>{}</td></tr></table>"])
+def test_pages_without_article_tags(spark, core):
+    """Tables that mark the article otherwise, alone or with few pages that have the tag."""
+    chance = random.Random(3)
+
+    def page(wrap):
+        own = [" ".join(f"{prose(chance.random(), chance.randint(8, 20))}." for _ in range(chance.randint(2, 4))) for _ in range(5)]
+        inner = "".join(f"<p>{p}</p>" for p in own)
+        return own, (
+            "<html><body><nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul></nav><!-- <article>x</article> -->"
+            f"{wrap.format(inner)}<div class='related'><ul><li><a href='/m'>More</a></li></ul></div><footer>All rights reserved</footer></body></html>"
+        )
+
+    given = [page(core) for _ in range(40)]
+    rows = [(i, "u", h) for i, (_, h) in enumerate(given)]
+    for more in (0, 2):
+        tagged = [(1000 + i, "u", page("<article>{}</article>")[1]) for i in range(more)]
+        df = spark.createDataFrame(rows + tagged, "page_id long, url string, html string")
+        assert len(pages.training_pages(df)) == more
+        got = {r["page_id"]: r["text"] for r in pages.extract(df).collect()}
+        assert all(got[i] == "\n".join(own) for i, (own, _) in enumerate(given))
+
+
 def test_chat(spark):
     turns = []
     for conv in range(6):
