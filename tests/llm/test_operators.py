@@ -188,6 +188,37 @@ def test_near_duplicates(spark, docs, rows_in, nothing):
     assert near_duplicates.near_duplicates(nothing).count() == 0
 
 
+@pytest.mark.parametrize("threshold,sizes", [((85, 100), (11, 14, 20, 40)), ((80, 100), (9, 15, 41))])
+def test_short_near_duplicates_are_all_found(spark, threshold, sizes):
+    """Short texts with as many words appended as the threshold allows, and one more than that, under a common line."""
+    given, linked = [], {}
+    for k in range(600):
+        n = sizes[k % len(sizes)]
+        most = threshold[1] * (n - 4) // threshold[0] - (n - 4)
+        more = most + (k % 5 == 0)
+        own = [f"w{k}x{i}" for i in range(n)] if k % 3 else [*"one line that is in many texts".split(), *(f"w{k}x{i}" for i in range(n - 7))]
+        given += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(own + [f"w{k}y{i}" for i in range(more)]))]
+        linked[2 * k + 1] = more <= most
+    df = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(df, threshold=threshold).collect()}
+    assert all((got[i] == i - 1) == near for i, near in linked.items())
+
+
+def test_prefix_keys_meet_in_every_linked_pair():
+    chance, counts = np.random.default_rng(5), np.random.default_rng(6).integers(0, 9, near_duplicates.SLOTS)
+    for above, below in ((85, 100), (80, 100), (1, 1), (1, 2)):
+        for n in range(1, near_duplicates.FEW + 1):
+            most = min(n * below // above, near_duplicates.FEW)
+            for m in {n, most, (n + most) // 2}:
+                common = -(-above * (n + m) // (above + below))
+                if common > n:
+                    continue
+                v = chance.integers(0, 1 << 64, n + m - common, dtype=np.uint64)
+                both = np.concatenate((np.sort(v[:n]), np.sort(v[n - common :])))
+                x, y = near_duplicates.prefix_keys(both, np.array([0, n, n + m]), counts, (above, below))
+                assert len(np.intersect1d(x, y))
+
+
 def test_chains_and_hubs_of_near_duplicates(spark):
     """A hub whose copies are only near to it, a chain, and rows of one id with different texts."""
     chance, base = random.Random(5), prose(20, 150).split(" ")
