@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, grammar_tokens, near_duplicates, packing, pages, passages, perplexity, quality_rules, token_counts
+from . import (
+    chat, decontamination, grammar_tokens, licenses, near_duplicates, packing, pages, passages, perplexity, quality_rules, structure, token_counts, whitening,
+)
 from ..session import cut
 from .common import scratch, table
 
@@ -57,6 +59,19 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("version")
 
 
+def op11_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("version")
+
+
+def op12_bit_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_path_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return structure.report(structure.damage(given), given)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bestfit": op1_bestfit,
     "op2_kneser_ney": op2_kneser_ney,
@@ -68,6 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_crf": op8_crf,
     "op9_budgeted_windows": op9_budgeted_windows,
     "op10_winnowing": op10_winnowing,
+    "op11_diagonal_voting": op11_diagonal_voting,
+    "op12_bit_scatter": op12_bit_scatter,
+    "op13_path_ranking": op13_path_ranking,
 }
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
