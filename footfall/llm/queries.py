@@ -90,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+_TEMPLATE_VALUES = ", ".join("({}, '{}', '{}')".format(i, label, text.replace("'", "''")) for i, (label, text) in enumerate(licenses.TEMPLATES))
+_PHRASE_VALUES = ", ".join(f"('{phrase}', '{label}')" for phrase, label in licenses.PHRASES)
+
 ORACLE: dict[str, str] = {
     "op7_risk_controlled": rf"""
 with d as (select row_number() over () as r, doc_id, coalesce('=' || lang, '-') as s, coalesce(text, '') as t from documents),
@@ -158,4 +161,34 @@ its as (
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
        sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from d left join hit using (r) left join its using (r)""",
+    "op11_diagonal_voting": rf"""
+with d as (
+  select row_number() over () as r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}'), []) as w
+  from documents),
+t as (
+  select template, label, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') as w
+  from (values {_TEMPLATE_VALUES}) as v(template, label, text)),
+tg as (select template, p, w[p:p + {licenses.K - 1}] as run from (select template, w, unnest(range(1, len(w) - {licenses.K} + 2)) as p from t)),
+dg as (select r, p, w[p:p + {licenses.K - 1}] as run from (select r, w, unnest(range(1, greatest(len(w) - {licenses.K} + 2, 1))) as p from d)),
+met as (select distinct r, template, dg.p - tg.p as diagonal, tg.p as t_place from dg join tg using (run)),
+centres as (select distinct r, template, diagonal as centre from met),
+covered as (
+  select distinct r, template, centre, t_place + unnest(range(0, {licenses.K})) as q
+  from centres join met using (r, template) where abs(diagonal - centre) <= {licenses.BAND}),
+shares as (
+  select r, c.template, centre, label, count(*) / len(any_value(w)) as share,
+         count(*) filter (regexp_full_match(w[q], '[0-9]+')) = len(list_filter(any_value(w), lambda x: regexp_full_match(x, '[0-9]+'))) as numbers
+  from covered as c join t on t.template = c.template group by all),
+best as (
+  select r, max(share) as score, list(distinct label) filter (share >= {licenses.COVERED} and numbers) as own from shares group by r),
+phrases as (select string_split(phrase, ' ') as p, label from (values {_PHRASE_VALUES}) as v(phrase, label)),
+places as (select r, unnest(range(1, len(w) + 1)) as i, w from d where list_has_any(w, ['gnu', 'apache', 'cc', 'mit'])),
+stood as (select r, i - 1 as i, label from places join phrases on w[i] = p[1] and w[i:i + len(p) - 1] = p),
+base as (select r, count(*) as n_base, min(i) as first_word, max(i) as last_word, list(distinct label) as labels from stood group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(labels), ','), '') as base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(labels, []), coalesce(own, [])))), ','), '') as labels,
+       coalesce(score, 0.0)::double as score
+from d left join base using (r) left join best using (r)""",
 }
