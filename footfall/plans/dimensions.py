@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import days_between, document_text, safe_ratio
 from ..operators.nearby import daily_counts, trailing_counts_by_window
+from ..session import cut
 
 ADDRESS_FIELDS = ("country", "state", "province", "city", "zip")
 ZIP3_LENGTH = 3
@@ -71,8 +72,8 @@ def _active_menu(services: DataFrame, categories: DataFrame) -> DataFrame:
 _RULED = (("duration", "set_duration"), ("price", "set_price"))
 
 
-def rules_per_service(rules: DataFrame) -> DataFrame:
-    """Per location and service: its own price and duration rules, and how many staff rules meet them."""
+def rules_per_staff(rules: DataFrame) -> DataFrame:
+    """Per location, service and staff member (NULL for rules of the location): its rules and what they set."""
     of_location = F.col("staff_id").isNull() & F.col("staff_role_id").isNull()
     of_staff = F.col("staff_id").isNotNull() & F.coalesce("set_bookable", F.lit(False))
     sums = []
@@ -82,7 +83,7 @@ def rules_per_service(rules: DataFrame) -> DataFrame:
         sums.append(F.count_if(given).alias(f"{name}_given"))
     return (
         rules.where("deleted_at is null")
-        .groupBy("location_id", "service_id")
+        .groupBy("location_id", "service_id", "staff_id")
         .agg(
             F.count_if(of_location).alias("own_rules"),
             F.count_if(of_staff).alias("staff_rules"),
@@ -92,6 +93,12 @@ def rules_per_service(rules: DataFrame) -> DataFrame:
     )
 
 
+def rules_per_service(per_staff: DataFrame) -> DataFrame:
+    """Per location and service: its own price and duration rules, and how many staff rules meet them."""
+    names = ["own_rules", "staff_rules", *[f"{name}_{part}" for name, _ in _RULED for part in ("set", "given")]]
+    return per_staff.groupBy("location_id", "service_id").agg(*[F.sum(n).alias(n) for n in names])
+
+
 def menu_stats(
     locations: DataFrame, services: DataFrame, categories: DataFrame, rules: DataFrame
 ) -> DataFrame:
@@ -100,10 +107,13 @@ def menu_stats(
     A location offers every service of its business, and each such pair meets
     the location's rules for it, then the staff rules. Instead of forming the
     pairs, the menu is summed once per business and category, and only pairs
-    that do have rules add the difference the rules make.
+    that do have rules add the difference the rules make. Rules are read once
+    and reduced to location, service and staff member before they meet the
+    menu, so a much-ruled service is no hot join key of raw rules.
     """
-    menu = _active_menu(services, categories)
-    sites = locations.select(F.col("id").alias("location_id"), "business_id")
+    menu = cut(_active_menu(services, categories))
+    sites = cut(locations.select(F.col("id").alias("location_id"), "business_id"))
+    per_staff = cut(rules_per_staff(rules))
     grain = ["location_id", "service_category"]
 
     plain = []
@@ -117,7 +127,7 @@ def menu_stats(
 
     # Rules outside the location's business or the active menu have no pair.
     ruled = (
-        rules_per_service(rules)
+        rules_per_service(per_staff)
         .join(menu, "service_id")
         .join(sites, ["location_id", "business_id"])
     )
@@ -135,7 +145,7 @@ def menu_stats(
     change = ruled.groupBy(*grain).agg(*changes)
 
     qualified = (
-        rules.where("deleted_at is null and staff_id is not null and set_bookable")
+        per_staff.where("staff_rules > 0")
         .select("location_id", "service_id", "staff_id")
         .join(menu, "service_id")
         .join(sites, ["location_id", "business_id"])

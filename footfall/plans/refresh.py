@@ -22,11 +22,18 @@ def refresh_features(
     holidays: DataFrame | None = None,
     first_day: date = feature_plan.FIRST_DAY,
 ) -> DataFrame:
-    """Rebuilds the feature table, stored by month and sorted by key inside each file."""
+    """Rebuilds the feature table, stored by month and sorted by key inside each file.
+
+    The result has the column `month` beside the features: day bounds set by `between_days` prune its folders.
+    """
     holidays = holidays if holidays is not None else holiday_table(spark)
     table = feature_plan.feature_table(tables, holidays, as_of, first_day)
     write_sorted(table, path, DAY, PANEL_KEYS)
-    return spark.read.parquet(path).drop("month")
+    return spark.read.schema(f"{_ddl(table)}, month string").parquet(path)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
 def refresh(
@@ -43,7 +50,7 @@ def refresh(
     """Runs every stage under `root` and returns the resulting tables."""
     table = refresh_features(spark, tables, f"{root}/features", as_of, holidays, first_day)
     store = training.ModelStore(spark, f"{root}/model")
-    result = {"features": table}
+    result = {"features": table.drop("month")}
     if retrain:
         result["summary"] = training.train(table, store, windows, boosting)
         replace_table(result["summary"], f"{root}/training_summary")
@@ -53,7 +60,6 @@ def refresh(
     )
     horizon = windows.test_start + timedelta(days=(windows.test_end - windows.test_start).days // 2)
     baseline = predictions.where(F.col("prediction_timestamp").cast("date") <= F.lit(horizon))
-    quality = monitoring.monitor(predictions, baseline)
-    replace_table(quality, f"{root}/monitor")
-    result.update(predictions=predictions, monitor=spark.read.parquet(f"{root}/monitor"))
+    quality = monitoring.update_monitor(spark, f"{root}/predictions", scoring.PREDICTION_DAY, f"{root}/monitor", baseline)
+    result.update(predictions=predictions, monitor=quality)
     return result

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.errors import interval_columns
-from ..sources.sinks import path_exists, upsert
+from ..sources.sinks import VersionedTable, between_days, upsert
 from .demand import DAY
 from .training import TARGET, DemandModel
 
@@ -17,10 +17,15 @@ PREDICTION_COLUMNS = (*PREDICTION_KEYS, "actual", "predicted", "pred_lower_05",
 PREDICTION_DAY = "prediction_date"
 
 
-def rows_after(features: DataFrame, day: str, scored: DataFrame, scored_at: str) -> DataFrame:
-    """Rows of days later than the latest in `scored`; all rows while that is empty."""
-    latest = scored.agg(F.coalesce(F.max(scored_at).cast("date"), F.lit("0001-01-01").cast("date"))).scalar()
-    return features.where(F.col(day) > latest)
+def high_water_mark(spark: SparkSession, path: str) -> date | None:
+    """The last day stored at `path`, from its commit record: no row and no folder is read, however long the history."""
+    latest = VersionedTable(spark, path, PREDICTION_DAY).latest()
+    return latest and date.fromisoformat(latest)
+
+
+def rows_after(features: DataFrame, day: str, latest: date | None) -> DataFrame:
+    """Rows of days later than `latest`; all rows if that is None."""
+    return features if latest is None else between_days(features, day, latest + timedelta(days=1))
 
 
 def prediction_record(predicted: Column, q: float) -> Column:
@@ -48,7 +53,7 @@ def score(features: DataFrame, model: DemandModel) -> DataFrame:
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*PREDICTION_COLUMNS)
+    return VersionedTable(spark, path, PREDICTION_DAY).read().select(*PREDICTION_COLUMNS)
 
 
 def score_incrementally(
@@ -63,15 +68,7 @@ def score_incrementally(
     The first run scores `first`..`last` (everything if not given); later runs
     score the days after the latest one stored.
     """
-    spark = features.sparkSession
-    if path_exists(spark, path):
-        features = rows_after(features, DAY, read_predictions(spark, path), "prediction_timestamp")
-    else:
-        if first is not None:
-            features = features.where(F.col(DAY) >= F.lit(first))
-        if last is not None:
-            features = features.where(F.col(DAY) <= F.lit(last))
-    scored = score(features, model)
-    stored = scored.withColumn(PREDICTION_DAY, F.col("prediction_timestamp").cast("date"))
-    upsert(stored, path, PREDICTION_KEYS, PREDICTION_DAY)
-    return read_predictions(spark, path)
+    latest = high_water_mark(features.sparkSession, path)
+    due = between_days(features, DAY, first, last) if latest is None else rows_after(features, DAY, latest)
+    stored = score(due, model).withColumn(PREDICTION_DAY, F.col("prediction_timestamp").cast("date"))
+    return upsert(stored, path, PREDICTION_KEYS, PREDICTION_DAY).select(*PREDICTION_COLUMNS)

@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.boosting import BoostedTrees, Growth, fit_trees
 from ..operators.errors import ALPHA, conformal_quantile, coverage, error_columns, error_metrics
-from ..operators.vocabulary import encode, target_means, vocabulary_of
-from ..session import cut, ensure_checkpoint_dir
-from ..sources.sinks import append_rows, path_exists, replace_table
+from ..operators.vocabulary import earlier_means, target_means, values_by_row
+from ..session import cut
+from ..sources.sinks import append_rows, between_days, claim, path_exists, replace_table
 
 TARGET = "provider_hours_demanded"
 DAY = "target_date"
@@ -32,10 +31,9 @@ NUMERIC_INPUTS = (
     "avg_lead_time_days", "email_msgs_l30d", "sms_msgs_l7d", "sf_account_tenure",
 )
 CATEGORY_INPUTS = ("service_category", "location_city", "sf_segment", "sf_industry")
-# Spark trees take no missing values: a value below all others lets one split set them apart.
-MISSING_NUMBER = -1.0e9
-# Histogram bins of every input, at any vocabulary size.
-MAX_BINS = 256
+# Number of a row inside one stored table.
+ROW = "_row"
+FOLDS = 2
 
 
 @dataclass(frozen=True)
@@ -47,33 +45,32 @@ class Windows:
 
 
 @dataclass(frozen=True)
-class Boosting:
-    depth: int = 3
-    min_rows_per_leaf: int = 5
-    rate: float = 0.07
-    rounds: int = 200
-    seed: int = 7
+class Boosting(Growth):
+    """As `Growth`; category means are rounded to `mean_digits` digits if that is given."""
+
+    mean_digits: int | None = None
 
 
 @dataclass
 class DemandModel:
-    pipeline: PipelineModel
+    trees: BoostedTrees
     vocabularies: DataFrame
     conformal_q: float = 0.0
     version: str = ""
     metrics: dict[str, float] = field(default_factory=dict)
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """`df` with the column `prediction`."""
-        encoded = with_model_inputs(df, self.vocabularies)
-        scored = self.pipeline.transform(encoded)
-        return scored.select(*df.columns, "prediction")
+        """`df` with the column `prediction`; a missing number or an unseen category takes a split's missing side."""
+        numbered = cut(df.withColumn(ROW, F.monotonically_increasing_id()))
+        values = values_by_row(numbered, ROW, self.vocabularies, CATEGORY_INPUTS)
+        inputs = model_inputs([f"code_{c}" for c in CATEGORY_INPUTS])
+        return numbered.join(values, ROW).withColumn("prediction", self.trees.column(inputs)).select(*df.columns, "prediction")
 
 
 def training_slice(features: DataFrame, first: date, last: date, extra: tuple[str, ...] = ()) -> DataFrame:
     """Model columns only, of the days from `first` to `last`."""
     columns = dict.fromkeys((*NUMERIC_INPUTS, *CATEGORY_INPUTS, TARGET, DAY, *extra))
-    return features.select(*columns).where(F.col(DAY).between(F.lit(first), F.lit(last)))
+    return between_days(features, DAY, first, last).select(*columns)
 
 
 def split_label(day: Column, windows: Windows) -> Column:
@@ -106,44 +103,46 @@ def time_blocks(df: DataFrame, day: str, blocks: int) -> DataFrame:
     return counted.withColumn("block", block.cast("int")).drop("_at", "_ahead")
 
 
-def with_model_inputs(df: DataFrame, vocabularies: DataFrame) -> DataFrame:
-    """Adds `n_*` numeric and `c_*` category columns ready for the vector assembler.
+def model_inputs(category_values: Sequence[str]) -> Column:
+    """The inputs of one row as an array of doubles, numbers first; NaN is a missing one."""
+    return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in (*NUMERIC_INPUTS, *category_values)])
+
+
+def training_rows(train: DataFrame, folds: int, digits: int | None = None) -> DataFrame:
+    """`target`, `block`, and each row's inputs in two forms: `inputs` to train on and `later_inputs` to validate on.
 
-    A category enters as the mean target of its training rows, one ordered
-    number at any vocabulary size; an unseen one is a missing number.
+    A category enters as the mean target of its rows on earlier days, so no row sees its own; to validate, as the mean over
+    the blocks before. Rows of earlier blocks have the same inputs in every fold.
     """
-    numbers = {f"n_{c}": F.coalesce(F.col(c).cast("double"), F.lit(MISSING_NUMBER)) for c in NUMERIC_INPUTS}
-    df = df.withColumns(numbers)
-    for column in CATEGORY_INPUTS:
-        df = encode(df, column, vocabulary_of(vocabularies, column), f"c_{column}")
-        df = df.withColumn(f"c_{column}", F.coalesce(F.col(f"c_{column}"), F.lit(MISSING_NUMBER)))
-    return df
-
-
-def _pipeline(boosting: Boosting) -> Pipeline:
-    inputs = [f"n_{c}" for c in NUMERIC_INPUTS] + [f"c_{c}" for c in CATEGORY_INPUTS]
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=inputs, outputCol="inputs"),
-            GBTRegressor(
-                featuresCol="inputs",
-                labelCol=TARGET,
-                maxDepth=boosting.depth,
-                minInstancesPerNode=boosting.min_rows_per_leaf,
-                stepSize=boosting.rate,
-                maxIter=boosting.rounds,
-                maxBins=MAX_BINS,
-                seed=boosting.seed,
-            ),
-        ]
-    )
+    blocks = cut(time_blocks(train, DAY, folds + 1).select(DAY, "block"))
+    labelled = cut(train.join(blocks, DAY).withColumn(ROW, F.monotonically_increasing_id()))
+    means = cut(earlier_means(labelled, CATEGORY_INPUTS, TARGET, DAY, "block", digits))
+    values = values_by_row(labelled, ROW, means, CATEGORY_INPUTS, ("code", "block_code"), DAY)
+    forms = {"inputs": "code", "later_inputs": "block_code"}
+    arrays = [model_inputs([f"{o}_{c}" for c in CATEGORY_INPUTS]).alias(n) for n, o in forms.items()]
+    return cut(labelled.join(values, ROW).select(F.col(TARGET).cast("double").alias("target"), "block", *arrays))
+
+
+def fit_and_validate(train: DataFrame, boosting: Boosting, folds: int) -> tuple[DemandModel, dict[str, float]]:
+    """The model of all rows, and mean errors of expanding-window validation by date.
+
+    The folds' models and the final one grow together, each on the blocks before its own end.
+    """
+    rows = training_rows(train, folds, boosting.mean_digits)
+    *partial, final = fit_trees(rows, boosting, range(1, folds + 2))
+    totals: dict[str, float] = {}
+    for fold, trees in enumerate(partial, 1):
+        scored = rows.where(F.col("block") == fold).select("target", trees.column(F.col("later_inputs")).alias("prediction"))
+        measured = scored.agg(*[c.alias(n) for n, c in error_columns("target", "prediction", 0.0).items()]).first()
+        for name, value in measured.asDict().items():
+            totals[f"cv_{name}"] = totals.get(f"cv_{name}", 0.0) + value / folds
+    means = cut(target_means(train, CATEGORY_INPUTS, TARGET, boosting.mean_digits))
+    return DemandModel(final, means), {name: round(value, 4) for name, value in totals.items()}
 
 
 def fit(train: DataFrame, boosting: Boosting) -> DemandModel:
     """Category means and trees of one training table."""
-    ensure_checkpoint_dir(train.sparkSession)
-    vocabularies = cut(target_means(train, CATEGORY_INPUTS, TARGET))
-    return DemandModel(_pipeline(boosting).fit(with_model_inputs(train, vocabularies)), vocabularies)
+    return fit_and_validate(train, boosting, 0)[0]
 
 
 def check_days(train: DataFrame, folds: int = 2) -> None:
@@ -153,19 +152,10 @@ def check_days(train: DataFrame, folds: int = 2) -> None:
         raise ValueError(f"{folds} folds need at least {folds + 1} training days, there are {days}")
 
 
-def cross_validate(train: DataFrame, boosting: Boosting, folds: int = 2) -> dict[str, float]:
+def cross_validate(train: DataFrame, boosting: Boosting, folds: int = FOLDS) -> dict[str, float]:
     """Mean errors of expanding-window validation by date; each fold has category means of its own training rows."""
     check_days(train, folds)
-    blocks = cut(time_blocks(train, DAY, folds + 1).select(DAY, "block"))
-    labelled = cut(train.join(blocks, DAY))
-    totals: dict[str, float] = {}
-    for fold in range(1, folds + 1):
-        fitted = fit(labelled.where(F.col("block") < fold).drop("block"), boosting)
-        scored = fitted.predict(labelled.where(F.col("block") == fold))
-        measured = scored.agg(*[c.alias(n) for n, c in error_columns(TARGET, "prediction", 0.0).items()]).first()
-        for name, value in measured.asDict().items():
-            totals[f"cv_{name}"] = totals.get(f"cv_{name}", 0.0) + value / folds
-    return {name: round(value, 4) for name, value in totals.items()}
+    return fit_and_validate(train, boosting, folds)[1]
 
 
 def version_number(column: str) -> Column:
@@ -201,22 +191,18 @@ def with_shares(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns(shares)
 
 
-def split_nodes(spark: SparkSession, model: DemandModel, path: str) -> DataFrame:
-    """Split nodes of the fitted trees, read from the stored model under `path`.
-
-    Gain is scaled by the node's rows, so it is a sum of squared-error
-    reductions and splits near the root weigh what they cover.
-    """
-    nodes = spark.read.parquet(f"{path}/trees/data").select("nodeData.*")
-    return nodes.where("split.featureIndex >= 0").select(
-        F.col("split.featureIndex").alias("feature_index"), (F.col("gain") * F.col("rawCount")).alias("gain")
-    )
+def split_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """Split nodes of the fitted trees, read from the stored model under `path`."""
+    nodes = spark.read.parquet(f"{path}/trees").where("tree >= 0 and feature >= 0")
+    return nodes.select(F.col("feature").alias("feature_index"), "gain")
 
 
 class ModelStore:
     """Model versions under one folder: files per version, one registry row each.
 
-    The registry row is written last, so a version counts only when complete.
+    A run claims its version by creating a file that must not exist yet, so two runs at once never share a folder; the
+    number of a run that broke off is not used again. The registry row is written last, so a version counts only when
+    complete, and into a folder of its own, so that runs do not meet there either.
     """
 
     REGISTRY_COLUMNS = (
@@ -239,6 +225,13 @@ class ModelStore:
     def next_version(self) -> str:
         return next_version(self.registry(), "version").first()["next_version"]
 
+    def claim_version(self) -> str:
+        """The next version that no other run has claimed, now taken."""
+        number = int(self.next_version()[1:])
+        while not claim(self.spark, f"{self.root}/claims/V{number}"):
+            number += 1
+        return f"V{number}"
+
     def last_version(self) -> str | None:
         number = version_number("version")
         latest = self.registry().where(number.isNotNull()).orderBy(number.desc()).select("version").first()
@@ -246,19 +239,16 @@ class ModelStore:
 
     def save_files(self, model: DemandModel, version: str) -> str:
         path = f"{self.root}/{version}"
-        model.pipeline.write().overwrite().save(f"{path}/pipeline")
-        model.pipeline.stages[-1].write().overwrite().save(f"{path}/trees")
+        replace_table(model.trees.nodes(self.spark), f"{path}/trees")
         replace_table(model.vocabularies, f"{path}/vocabularies")
         return path
 
     def register(self, model: DemandModel, alpha: float, n_calibration: int, covered: float, comment: str) -> None:
-        row = (
-            model.version, model.conformal_q, alpha, n_calibration, covered, model.metrics, comment,
-        )
-        names = "version string, conformal_q double, alpha double, n_calibration bigint, coverage_pct double, " \
+        row = (model.conformal_q, alpha, n_calibration, covered, model.metrics, comment)
+        names = "conformal_q double, alpha double, n_calibration bigint, coverage_pct double, " \
             "metrics map<string,double>, comment string"
         entry = self.spark.createDataFrame([row], names).withColumn("trained_at", F.current_timestamp())
-        append_rows(entry.coalesce(1), self.registry_path)
+        append_rows(entry.coalesce(1), self.registry_path, version=model.version)
 
     def load(self, version: str | None = None) -> DemandModel:
         """The given version, or the last one."""
@@ -268,7 +258,7 @@ class ModelStore:
         entry = self.registry().where(F.col("version") == version).first()
         path = f"{self.root}/{version}"
         return DemandModel(
-            pipeline=PipelineModel.load(f"{path}/pipeline"),
+            trees=BoostedTrees.from_nodes(self.spark.read.parquet(f"{path}/trees")),
             vocabularies=self.spark.read.parquet(f"{path}/vocabularies"),
             conformal_q=entry["conformal_q"],
             version=version,
@@ -293,8 +283,8 @@ def train(
     test = labelled.where("split = 'test'").drop("split")
 
     if validate:
-        check_days(training)
-    model = fit(training, boosting)
+        check_days(training, FOLDS)
+    model, cross_scores = fit_and_validate(training, boosting, FOLDS if validate else 0)
     scored = cut(model.predict(test).select(TARGET, "prediction"))
     if not scored.where("prediction is null or isnan(prediction)").isEmpty():
         raise ValueError("the fitted model gives test rows no number; nothing is stored")
@@ -305,19 +295,12 @@ def train(
     covered = coverage(scored, TARGET, "prediction", q).first()["coverage"] * 100
 
     model.conformal_q = q
-    model.metrics = dict(measured)
-    if validate:
-        model.metrics.update(cross_validate(training, boosting))
-    model.version = store.next_version()
+    model.metrics = {**measured, **cross_scores}
+    model.version = store.claim_version()
     path = store.save_files(model, model.version)
-    weights = importance(split_nodes(spark, model, path), [*NUMERIC_INPUTS, *CATEGORY_INPUTS])
-    history = weights.withColumns(
-        {
-            "model_version": F.lit(model.version),
-            "trained_at": F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"),
-        }
-    )
-    append_rows(history.coalesce(1), f"{store.root}/feature_importance")
+    weights = importance(split_nodes(spark, path), [*NUMERIC_INPUTS, *CATEGORY_INPUTS])
+    history = weights.withColumn("trained_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"))
+    append_rows(history.coalesce(1), f"{store.root}/feature_importance", model_version=model.version)
     comment = (
         f"boosted trees with conformal interval: depth {boosting.depth}, rate {boosting.rate}, "
         f"rounds {boosting.rounds}, train {windows.train_start}..{windows.train_end}, "

@@ -52,10 +52,105 @@ def test_upsert(spark, rows, tmp_path):
     expected = [("a", "2026-01-01", 10), ("a", "2026-01-02", 3), ("b", "2026-01-01", 2), ("c", "2026-01-03", 4)]
     for _ in range(2):  # a repeated run changes nothing
         sinks.upsert(change, path, KEYS, "d")
-        stored = spark.read.parquet(path)
+        stored = sinks.VersionedTable(spark, path, "d").read()
         assert rows(stored.select("k", F.col("d").cast("string"), "v")) == expected
 
 
+def contents(table):
+    return sorted((r["k"], str(r["d"]), r["v"]) for r in table.read().collect())
+
+
+def test_a_broken_upsert_changes_nothing_and_a_second_run_finishes_it(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    before = [("a", "2026-01-01", 1), ("a", "2026-01-02", 2)]
+    sinks.upsert(panel(spark, *before), path, KEYS, "d")
+    table = sinks.VersionedTable(spark, path, "d")
+    change = panel(spark, ("a", "2026-01-01", 10), ("a", "2026-01-02", 20), ("b", "2026-01-03", 30))
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks.VersionedTable, "_add", stop)  # both folders are written, the record is not
+        with pytest.raises(KeyboardInterrupt):
+            sinks.upsert(change, path, KEYS, "d")
+    assert contents(table) == before and table.latest() == "2026-01-02"
+    sinks.upsert(change, path, KEYS, "d")
+    assert contents(table) == [("a", "2026-01-01", 10), ("a", "2026-01-02", 20), ("b", "2026-01-03", 30)]
+    assert table.sweep(3600) == 0 and table.sweep(0) == 1
+    assert len(contents(table)) == 3
+
+
+def test_old_parts_go_and_readers_keep_the_version_they_opened(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = sinks.VersionedTable(spark, path, "d")
+    assert table.read() is None and table.latest() is None
+    seen = []
+    for value in range(5):
+        sinks.upsert(panel(spark, ("a", "2026-01-01", value), ("a", f"2026-01-0{value + 2}", value)), path, KEYS, "d")
+        seen.append(table.read())
+        if value:
+            assert seen[-2].where("d = '2026-01-01'").first()["v"] == value - 1
+    folders = list((tmp_path / "t" / "_rows").glob("generation=*/d=2026-01-01"))
+    assert len(folders) == 2 and table.read().count() == 6 and table.commit().number == 5
+    sinks.upsert(panel(spark), path, KEYS, "d")  # nothing new, no new record
+    assert table.commit().number == 5
+
+
+def test_writers_at_once_do_not_lose_a_write(spark, tmp_path):
+    table = sinks.VersionedTable(spark, str(tmp_path / "t"), "d")
+    table.upsert(panel(spark, ("a", "2026-01-01", 1)), KEYS)
+    first = table.commit()
+    table._add(sinks.Commit(2, first.schema, first.parts))
+    with pytest.raises(RuntimeError, match="run again"):
+        table._add(sinks.Commit(2, first.schema, {}))
+    assert contents(table) == [("a", "2026-01-01", 1)]
+
+
+def test_a_claim_is_given_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from footfall.plans.training import ModelStore
+
+    store = ModelStore(spark, str(tmp_path / "models"))
+    with ThreadPoolExecutor(8) as pool:
+        versions = list(pool.map(lambda _: store.claim_version(), range(8)))
+    assert sorted(versions) == [f"V{i}" for i in range(1, 9)]
+
+
+def test_day_bounds_reach_the_month_folders(spark, tmp_path):
+    from datetime import date
+
+    path = str(tmp_path / "sorted")
+    sinks.write_sorted(panel(spark, *[("k", f"2026-{m:02d}-15", m) for m in range(1, 13)]), path, "d", ["k", "d"])
+    stored = spark.read.schema("k string, d date, v int, month string").parquet(path)
+    found = sinks.between_days(stored, "d", date(2026, 3, 1), date(2026, 4, 30))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "2026-03" in plan
+    assert len(set(found.select(F.input_file_name()).toPandas().iloc[:, 0])) == found.count() == 2
+
+
+def test_clustered_table_is_joined_without_an_exchange(spark, tmp_path):
+    df = panel(spark, *[(f"k{i % 7}", f"2026-01-{i % 28 + 1:02d}", i) for i in range(200)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        left = sinks.write_clustered(df, "clustered_left", str(tmp_path / "l"), ["k"], ["d"], 4)
+        right = sinks.write_clustered(df.groupBy("k").agg(F.sum("v").alias("total")), "clustered_right", str(tmp_path / "r"), ["k"], [], 4)
+        joined = left.join(right, "k").groupBy("k").agg(F.count("*").alias("n"), F.max("total").alias("total"))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert {r["k"]: (r["n"], r["total"]) for r in joined.collect()} == {
+            f"k{j}": (len(range(j, 200, 7)), sum(range(j, 200, 7))) for j in range(7)
+        }
+        per_bucket = left.withColumn("f", F.input_file_name()).toPandas().groupby("f")
+        assert all(list(zip(part.k, part.d)) == sorted(zip(part.k, part.d)) for _, part in per_bucket)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("drop table if exists clustered_left")
+        spark.sql("drop table if exists clustered_right")
+
+
 @pytest.mark.parametrize("bad", [[("a", "2026-01-01", 1)] * 2, [(None, "2026-01-01", 1)]])
 def test_upsert_rejects_bad_keys(spark, tmp_path, bad):
     with pytest.raises(ValueError):

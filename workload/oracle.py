@@ -371,7 +371,7 @@ ROLLED = f"{PANEL} " + kinds(
 )
 
 
-# A single split over all model inputs: the cut with the least squared error, found by running sums per input.
+# One round of one split over all model inputs: the gain of every cut, with missing rows on either side, by running sums.
 TRAIN_DAYS = "target_date between date '1996-01-01' and date '2000-06-30'"
 TEST_DAYS = "target_date between date '2000-07-01' and date '2001-12-31'"
 PANEL_ROW = "location_id, service_category, target_date, provider_hours_demanded as y"
@@ -382,34 +382,68 @@ def listed(names) -> str:
 
 
 WHOLE = ", ".join(
-    f"case when {c} is null then -1e9 else least(greatest(round(round(cast({c} as double), 6)), -20), 200) end"
-    for c in NUMERIC_INPUTS
+    f"case when {c} is not null then least(greatest(round(round(cast({c} as double), 6)), -20), 200) end" for c in NUMERIC_INPUTS
 )
 AS_TEXT = ", ".join(f"coalesce(cast({c} as varchar), 'None')" for c in CATEGORY_INPUTS)
+CTES["stump_block"] = f"""
+    select target_date, floor(coalesce(sum(count(*)) over (order by target_date rows between unbounded preceding
+        and 1 preceding), 0) * 3 / sum(count(*)) over ()) as block
+    from features where {TRAIN_DAYS} group by target_date"""
+CTES["stump_row"] = f"""
+    select f.*, b.block from features as f left join stump_block as b on b.target_date = f.target_date
+    where f.{TRAIN_DAYS} or f.{TEST_DAYS}"""
+CTES["stump_number"] = f"""
+    select {PANEL_ROW}, block, {listed(NUMERIC_INPUTS)}, unnest([{WHOLE}]) as value from stump_row"""
 CTES["stump_category"] = f"""
-    select {PANEL_ROW}, {listed(CATEGORY_INPUTS)}, unnest([{AS_TEXT}]) as category from features"""
-CTES["stump_mean"] = f"""
-    select feature, category, avg(y) as value from stump_category where {TRAIN_DAYS} group by all"""
-CTES["stump_input"] = f"""
-    select {PANEL_ROW}, {listed(NUMERIC_INPUTS)}, unnest([{WHOLE}]) as value from features
+    select {PANEL_ROW}, block, {listed(CATEGORY_INPUTS)}, unnest([{AS_TEXT}]) as category from stump_row"""
+CTES["stump_daily"] = """
+    select feature, category, target_date, block, sum(y) as s, count(*) as n from stump_category
+    where block is not null group by all"""
+CTES["stump_earlier"] = """
+    select feature, category, target_date, round(round(sum(s) over w / sum(n) over w, 6)) as value from stump_daily
+    window w as (partition by feature, category order by target_date rows between unbounded preceding and 1 preceding)"""
+CTES["stump_trained"] = """
+    select y, block, feature, value from stump_number where block is not null
     union all
-    select c.location_id, c.service_category, c.target_date, c.y, c.feature, coalesce(m.value, -1e9)
-    from stump_category as c left join stump_mean as m on m.feature = c.feature and m.category = c.category"""
-CTES["stump_cell"] = f"""
-    select feature, value, count(*) as n, sum(y) as s from stump_input where {TRAIN_DAYS} group by all"""
-CTES["stump_run"] = """
-    select feature, value, lead(value) over w as following, sum(n) over w as left_n, sum(s) over w as left_s,
-        sum(n) over (partition by feature) - sum(n) over w as right_n,
-        sum(s) over (partition by feature) - sum(s) over w as right_s
-    from stump_cell window w as (partition by feature order by value)"""
-CTES["stump_split"] = """
-    select feature, (value + following) / 2 as threshold, left_s / left_n as low, right_s / right_n as high
-    from stump_run where following is not null and left_n >= 5 and right_n >= 5
-    order by left_s * left_s / left_n + right_s * right_s / right_n desc, feature, value limit 1"""
-CTES["stump_forecast"] = f"""
-    select location_id, service_category, cast(target_date as timestamp) as prediction_timestamp, y as actual,
-        case when value <= threshold then low else high end as predicted
-    from stump_input as i join stump_split as t on t.feature = i.feature where {TEST_DAYS}"""
+    select c.y, c.block, c.feature, e.value from stump_category as c join stump_earlier as e on e.feature = c.feature
+        and e.category = c.category and e.target_date = c.target_date"""
+
+
+def _stump(name: str, blocks: int, scored: str) -> None:
+    """Relations for the split of the rows of the first `blocks` blocks, and its forecast of the rows `scored`."""
+    CTES[f"{name}_base"] = f"select avg(y) as base from stump_trained where block < {blocks}"
+    CTES[f"{name}_mean"] = f"""
+        select feature, category, round(round(sum(s) / sum(n), 6)) as value from stump_daily where block < {blocks} group by all"""
+    CTES[f"{name}_cell"] = f"""
+        select feature, value, count(*) as n, sum(y - base) as g from stump_trained, (select base from {name}_base)
+        where block < {blocks} group by all"""
+    CTES[f"{name}_cut"] = f"""
+        select c.feature, c.value, side, sum(c.n) over w + side * coalesce(m.n, 0) as ln, sum(c.g) over w + side * coalesce(m.g, 0) as lg,
+            sum(c.n) over a + coalesce(m.n, 0) as n, sum(c.g) over a + coalesce(m.g, 0) as g
+        from (select * from {name}_cell where value is not null) as c
+        left join (select * from {name}_cell where value is null) as m on m.feature = c.feature, (values (0), (1)) as v(side)
+        window w as (partition by c.feature, side order by c.value), a as (partition by c.feature, side)"""
+    CTES[f"{name}_gain"] = f"""
+        select *, (lg * lg / (ln + 1) + (g - lg) * (g - lg) / (n - ln + 1) - g * g / (n + 1)) / 2 as gain
+        from {name}_cut where ln >= 5 and n - ln >= 5"""
+    CTES[f"{name}_split"] = f"""
+        select feature, value as threshold, side, base + lg / (ln + 1) as low, base + (g - lg) / (n - ln + 1) as high
+        from {name}_gain, (select base from {name}_base) where gain >= (select max(gain) from {name}_gain) * (1 - 1e-9)
+        order by list_position([{', '.join(f"'{c}'" for c in (*NUMERIC_INPUTS, *CATEGORY_INPUTS))}], feature), value, side limit 1"""
+    CTES[f"{name}_input"] = f"""
+        select location_id, service_category, target_date, y, feature, value from stump_number where {scored}
+        union all
+        select location_id, service_category, target_date, y, c.feature, value from stump_category as c
+        left join {name}_mean as m on m.feature = c.feature and m.category = c.category where {scored}"""
+    CTES[f"{name}_forecast"] = f"""
+        select location_id, service_category, cast(target_date as timestamp) as prediction_timestamp, y as actual,
+            case when value <= threshold or value is null and side = 1 then low else high end as predicted
+        from {name}_input as i join {name}_split as t on t.feature = i.feature"""
+
+
+_stump("stump", 3, TEST_DAYS)
+_stump("early", 1, "block = 1")
+_stump("late", 2, "block = 2")
 CTES["stump_residual"] = CTES["residual"].replace("from forecast", "from stump_forecast")
 CTES["stump_spot"] = CTES["spot"].replace("from residual", "from stump_residual")
 CTES["stump_q"] = CTES["q"].replace("from spot", "from stump_spot")
@@ -448,9 +482,15 @@ EVENT_COUNTS = sql(
     "user_id:i day:t views_30:i clicks_7:i all_30:i",
 )
 
-ERRORS = """round(sqrt(avg((actual - predicted) ** 2)), 4) as rmse, round(avg(abs(actual - predicted)), 4) as mae,
-    round(100 * sum(abs(actual - predicted)) / sum(actual), 4) as wape_pct,
-    round(100 * avg(abs(actual - predicted) / actual) filter (actual > 0), 4) as mape_pct"""
+ERROR_SQL = {
+    "rmse": "sqrt(avg((actual - predicted) ** 2))",
+    "mae": "avg(abs(actual - predicted))",
+    "wape_pct": "100 * sum(abs(actual - predicted)) / sum(actual)",
+    "mape_pct": "100 * avg(abs(actual - predicted) / actual) filter (actual > 0)",
+}
+ERROR_NAMES = tuple(ERROR_SQL)
+ERRORS = ", ".join(f"round({text}, 4) as {name}" for name, text in ERROR_SQL.items())
+EXACT_ERRORS = ", ".join(f"{text} as {name}" for name, text in ERROR_SQL.items())
 ERROR_KINDS = "rmse:d mae:d wape_pct:d mape_pct:d"
 PREDICTION = "location_id:t service_category:t prediction_timestamp:t actual:d predicted:d pred_lower_05:d pred_upper_95:d"
 
@@ -637,14 +677,16 @@ ORACLE: dict[str, str] = {
         "l_orderkey:i l_linenumber:i category:t code:i",
     ),
     "category_rank": sql(
-        """select l_orderkey, l_linenumber, category, round(value, 6) as value
+        """select l_orderkey, l_linenumber, l.category, round(value, 6) as value
             from (select *, case when p_size <> 1 then p_brand || '-' || p_size end as category
-                from lineitem join part on p_partkey = l_partkey)
-            left join (
-                select coalesce(case when p_size <> 1 then p_brand || '-' || p_size end, 'None') as known,
-                    avg(l_quantity) as value
-                from lineitem join part on p_partkey = l_partkey where l_shipdate < date '1992-07-01' group by all)
-            on known = coalesce(category, 'None')""",
+                from lineitem join part on p_partkey = l_partkey) as l
+            join (
+                select known, l_shipdate, sum(s) over w / sum(n) over w as value from (
+                    select coalesce(case when p_size <> 1 then p_brand || '-' || p_size end, 'None') as known,
+                        l_shipdate, sum(l_quantity) as s, count(*) as n
+                    from lineitem join part on p_partkey = l_partkey group by all)
+                window w as (partition by known order by l_shipdate rows between unbounded preceding and 1 preceding)) as e
+            on e.known = coalesce(l.category, 'None') and e.l_shipdate = l.l_shipdate""",
         "l_orderkey:i l_linenumber:i category:t value:d",
     ),
     "error_metrics": sql(
@@ -689,8 +731,11 @@ ORACLE: dict[str, str] = {
         PREDICTION,
     ),
     "training_run": sql(
-        f"select 'V1' as version, {ERRORS}, round((select q from stump_q), 4) as conformal_q from stump_forecast",
-        f"version:t {ERROR_KINDS} conformal_q:d",
+        f"""select 'V1' as version, s.*, round((select q from stump_q), 4) as conformal_q,
+            {', '.join(f'round((a.{m} + b.{m}) / 2, 4) as cv_{m}' for m in ERROR_NAMES)}
+            from (select {ERRORS} from stump_forecast) as s,
+                (select {EXACT_ERRORS} from early_forecast) as a, (select {EXACT_ERRORS} from late_forecast) as b""",
+        f"version:t {ERROR_KINDS} conformal_q:d " + " ".join(f"cv_{m}:d" for m in ERROR_NAMES),
     ),
     "importance_trees": sql(
         f"""select feature, cast(chosen as double) as importance_split, 100.0 * chosen as importance_gain_pct,

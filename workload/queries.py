@@ -17,7 +17,7 @@ from footfall.operators.trailing import Series
 from footfall.plans import demand, dimensions, features, market, monitoring, scoring, training
 from footfall.session import cut, ensure_checkpoint_dir
 from footfall.sources.literals import literal_ids
-from footfall.sources.sinks import merge_by_key
+from footfall.sources.sinks import upsert
 
 from .tables import AS_OF, FIRST_DAY, ZONES, holidays, sources, table, zone_of
 from .tidy import tidy
@@ -151,7 +151,7 @@ def left_on_predicate(spark, sf_dir):
 
 @query
 def double_role_join(spark, sf_dir):
-    rules = dimensions.rules_per_service(sources(spark, sf_dir)["service_rules"])
+    rules = dimensions.rules_per_service(dimensions.rules_per_staff(sources(spark, sf_dir)["service_rules"]))
     rows = F.greatest("own_rules", F.lit(1)) * F.greatest("staff_rules", F.lit(1))
     return rules.select("location_id", "service_id", "own_rules", "staff_rules", rows.alias("joined_rows"))
 
@@ -387,15 +387,15 @@ def category_encode(spark, sf_dir):
 
 @query
 def category_rank(spark, sf_dir):
-    """The model's category input: mean target of the earlier lines, with unseen and missing categories."""
+    """The model's category input: mean target of the category's lines on earlier days, missing on its first day."""
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.when(F.col("p_size") != 1, F.concat_ws("-", "p_brand", "p_size")).alias("category")
     )
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity")
-    lines = lines.join(parts, "l_partkey")
-    means = vocabulary.target_means(lines.where(F.col("l_shipdate") < F.lit(date(1992, 7, 1))), ["category"], "l_quantity")
-    coded = vocabulary.encode(lines, "category", vocabulary.vocabulary_of(means, "category"), "value")
-    return coded.select("l_orderkey", "l_linenumber", "category", F.round("value", 6).alias("value"))
+    lines = cut(lines.join(parts, "l_partkey").withColumns({"row": F.monotonically_increasing_id(), "block": F.lit(0)}))
+    means = vocabulary.earlier_means(lines, ["category"], "l_quantity", "l_shipdate", "block")
+    values = vocabulary.values_by_row(lines, "row", means, ["category"], day="l_shipdate")
+    return lines.join(values, "row").select("l_orderkey", "l_linenumber", "category", F.round("code_category", 6).alias("value"))
 
 
 # Predictions ----------------------------------------------------------------------
@@ -459,17 +459,21 @@ def importance_share(spark, sf_dir):
 
 @query
 def incremental_rows(spark, sf_dir):
+    """Days after the last one that a stored, day-partitioned table holds."""
     panel = cut(daily(spark, sf_dir))
-    earlier = panel.where(F.col(demand.DAY) < F.lit(SPLIT_DAY))
-    return scoring.rows_after(panel, demand.DAY, earlier, demand.DAY)
+    path, day = _folder(spark), F.col(demand.DAY).alias(scoring.PREDICTION_DAY)
+    upsert(panel.where(F.col(demand.DAY) < F.lit(SPLIT_DAY)).select(*demand.PANEL_KEYS, "demand_count", day), path, demand.PANEL_KEYS, scoring.PREDICTION_DAY)
+    return scoring.rows_after(panel, demand.DAY, scoring.high_water_mark(spark, path))
 
 
 @query
 def upsert_by_key(spark, sf_dir):
-    panel = cut(daily(spark, sf_dir).select(*demand.PANEL_KEYS, "demand_count"))
-    stored = panel.where(F.col(demand.DAY) < F.lit(date(2000, 1, 1)))
+    """Two writes of one table: all days, then the later ones with other values."""
+    panel = cut(daily(spark, sf_dir).select(*demand.PANEL_KEYS, "demand_count").withColumn("month", F.date_format(demand.DAY, "yyyy-MM")))
+    path = _folder(spark)
+    upsert(panel.where(F.col(demand.DAY) < F.lit(date(2000, 1, 1))), path, demand.PANEL_KEYS, "month")
     fresh = panel.where(F.col(demand.DAY) >= F.lit(SPLIT_DAY)).withColumn("demand_count", F.col("demand_count") * 10)
-    return merge_by_key(stored, fresh, demand.PANEL_KEYS)
+    return upsert(fresh, path, demand.PANEL_KEYS, "month").drop("month")
 
 
 @query
@@ -482,7 +486,15 @@ def next_version(spark, sf_dir):
 
 @query
 def monitor_daily(spark, sf_dir):
-    return monitoring.daily_performance(forecasts(spark, sf_dir))
+    """Two daily runs of the monitor over a prediction table that grew and was corrected between them."""
+    scored = cut(forecasts(spark, sf_dir).withColumn(scoring.PREDICTION_DAY, F.col("prediction_timestamp").cast("date")))
+    path, root = _folder(spark), _folder(spark)
+    early = scored.where(F.col(scoring.PREDICTION_DAY) < F.lit(SPLIT_DAY))
+    wrong = early.withColumn("predicted", F.when(F.col(scoring.PREDICTION_DAY) < F.lit(date(1998, 12, 1)), F.col("predicted")).otherwise(F.lit(0.0)))
+    upsert(wrong, path, scoring.PREDICTION_KEYS, scoring.PREDICTION_DAY)
+    monitoring.update_monitor(spark, path, scoring.PREDICTION_DAY, root, early)
+    upsert(scored.where(F.col(scoring.PREDICTION_DAY) >= F.lit(date(1998, 12, 1))), path, scoring.PREDICTION_KEYS, scoring.PREDICTION_DAY)
+    return monitoring.update_monitor(spark, path, scoring.PREDICTION_DAY, root).drop("psi")
 
 
 @query
@@ -514,8 +526,8 @@ def check_not_null(spark, sf_dir):
 
 # The model --------------------------------------------------------------------------
 
-# One round of one split: SQL can find the best split and both leaf means.
-STUMP = training.Boosting(depth=1, rounds=1)
+# One round of one split: SQL can find the best split and both leaf values.
+STUMP = training.Boosting(depth=1, rounds=1, rate=1.0, mean_digits=0)
 FIRST_SCORED = date(2000, 12, 31)
 
 
@@ -555,7 +567,10 @@ def batch_score(spark, sf_dir):
 
 @query
 def training_run(spark, sf_dir):
-    return _trained(spark, sf_dir, validate=True)[2].drop("elapsed_s")
+    """The run's summary and its four validation errors from the registry."""
+    _, store, summary = _trained(spark, sf_dir, validate=True)
+    scores = [F.col("metrics")[name].alias(name) for name in ("cv_rmse", "cv_mae", "cv_wape_pct", "cv_mape_pct")]
+    return summary.drop("elapsed_s").join(store.registry().select("version", *scores), "version")
 
 
 @query
