@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import temporary
 from ..sources.holidays import holiday_table
 from ..sources.sinks import replace_table, write_sorted
 from . import features as feature_plan
@@ -47,7 +48,12 @@ def refresh(
     first_day: date = feature_plan.FIRST_DAY,
     retrain: bool = True,
 ) -> dict[str, DataFrame]:
-    """Runs every stage under `root` and returns the resulting tables."""
+    """Runs every stage under `root` and returns the resulting tables; scratch files of the stages are gone by then."""
+    with temporary(spark):
+        return _refreshed(spark, tables, root, as_of, windows, boosting, holidays, first_day, retrain)
+
+
+def _refreshed(spark, tables, root, as_of, windows, boosting, holidays, first_day, retrain) -> dict[str, DataFrame]:
     table = refresh_features(spark, tables, f"{root}/features", as_of, holidays, first_day)
     store = training.ModelStore(spark, f"{root}/model")
     result = {"features": table.drop("month")}

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +55,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+_HELD: ContextVar[list[str] | None] = ContextVar("held", default=None)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Files that `cut` writes inside go when the block ends: for jobs whose results are stored elsewhere by then."""
+    held: list[str] = []
+    token = _HELD.set(held)
+    try:
+        yield
+    finally:
+        _HELD.reset(token)
+        for path in held:
+            jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` as parquet to the checkpoint folder and go on from the files.
 
@@ -61,5 +81,8 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    held = _HELD.get()
+    if held is not None:
+        held.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

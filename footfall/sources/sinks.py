@@ -167,8 +167,10 @@ class VersionedTable:
         merged = new if old is None else cut(merge_by_key(old, new, keys))
         generation = f"g{uuid.uuid4().hex}"
         if touched:
-            # By range, a part's rows lie in few tasks, so its folder gets few files.
-            spread = merged.repartitionByRange(self.part, *keys)
+            # By range, a part's rows lie in few tasks, so its folder gets few files. Many parts need many tasks, however
+            # little they hold, since each costs a file; few parts are sized by their rows.
+            tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            spread = merged.repartitionByRange(*([tasks] if len(touched) >= tasks else []), self.part, *keys)
             spread.write.partitionBy(self.part).parquet(f"{self.path}/_rows/generation={generation}")
         parts = {**(last.parts if last else {}), **{p: generation for p in touched}}
         self._add(Commit((last.number if last else 0) + 1, new.schema, parts))

@@ -1,6 +1,8 @@
 import random
 import re
 from datetime import date, timedelta
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from footfall.operators.vocabulary import earlier_means
 from footfall.plans import monitoring, refresh, scoring, training
 from footfall.sources.sinks import VersionedTable
+from footfall.session import ensure_checkpoint_dir
 from footfall.sources.holidays import holiday_table
 from workload.queries import WINDOWS
 from workload.tables import AS_OF, FIRST_DAY, QUARTER_DAYS, sources
@@ -23,7 +26,10 @@ QUICK = training.Boosting(rounds=3)
 def run(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("job"))
     holidays = holiday_table(spark, QUARTER_DAYS)
+    scratch = Path(urlparse(ensure_checkpoint_dir(spark)).path)
+    before = set(scratch.iterdir())
     tables = refresh.refresh(spark, sources(spark, SMALL), root, AS_OF, WINDOWS, QUICK, holidays, FIRST_DAY)
+    assert set(scratch.iterdir()) == before  # no scratch folder is left
     return root, tables
 
 

@@ -63,6 +63,11 @@ def test_history_windows_need_one_exchange(spark, no_broadcast):
     assert len(re.findall(r"Window \[", plan)) == 2
 
 
+def test_clustered_panel_moves_no_row(spark, no_broadcast):
+    plan = plan_of(QUERIES["clustered_panel"](spark, SMALL))
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = QUERIES["trailing_event_counts"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(event_type,purchase)" in plan

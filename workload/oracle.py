@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from footfall.plans.training import CATEGORY_INPUTS, NUMERIC_INPUTS
+from footfall.sources.holidays import US_HOLIDAYS
 
 from .tidy import tidy_sql
 
@@ -586,6 +587,14 @@ ORACLE: dict[str, str] = {
         "location_id:t service_id:t own_rules:i staff_rules:i joined_rows:i",
     ),
     "holiday_proximity": of("nearest", f"{PANEL} is_holiday:i days_to_nearest_holiday:i"),
+    "default_holidays": sql(
+        f"""select event_type, day, n_events, cast(coalesce(min(abs(day - h)) = 0, false) as integer) as is_holiday,
+            coalesce(min(abs(day - h)), 60) as days_to_nearest_holiday
+            from (select event_type, cast(ts as date) as day, count(*) as n_events from events group by all)
+            left join (select unnest([{', '.join(f"date '{d}'" for d in US_HOLIDAYS.split())}]) as h) on abs(day - h) <= 30
+            group by all""",
+        "event_type:t day:t n_events:i is_holiday:i days_to_nearest_holiday:i",
+    ),
     "trailing_event_counts": EVENT_COUNTS,
     "trailing_event_counts_range": EVENT_COUNTS,
     "message_window": of(
@@ -653,6 +662,15 @@ ORACLE: dict[str, str] = {
             left join capacity as c on c.location_id = r.location_id""",
         f"{PANEL} utilization_rate_recent:d",
     ),
+    "clustered_panel": sql(
+        """select p.location_id, p.service_category, count(*) as n_days, max(recent) as busiest,
+            max(avg_menu_price_cents) as avg_menu_price_cents
+            from (select *, coalesce(sum(demand_count) over (partition by location_id, service_category
+                order by target_date rows between 7 preceding and 1 preceding), 0) as recent from daily) as p
+            left join menu_stats as m on m.location_id = p.location_id and m.service_category = p.service_category
+            group by all""",
+        "location_id:t service_category:t n_days:i busiest:i avg_menu_price_cents:d",
+    ),
     "feature_table": of("features", FEATURES),
     "training_slice": of("features", SLICE, "where target_date <= date '2000-06-30'"),
     "temporal_split": sql(
@@ -764,9 +782,9 @@ ORACLE: dict[str, str] = {
     ),
     "monitor_psi": sql(_psi(), "day:t n_rows:i psi:d"),
     "prediction_view": sql(
-        """select location_id, service_category, count(*) as n_rows, sum(predicted) as total_predicted
-            from forecast group by all""",
-        "location_id:t service_category:t n_rows:i total_predicted:d",
+        """select location_id, service_category, count(*) as n_rows, sum(predicted) as total_predicted,
+            'Predicted provider hours' as predicted_comment from forecast group by all""",
+        "location_id:t service_category:t n_rows:i total_predicted:d predicted_comment:t",
     ),
     "check_unique": sql(
         """select l_orderkey, l_linenumber, count(*) as n_rows from lineitem group by all having count(*) > 1""",

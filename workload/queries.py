@@ -16,8 +16,9 @@ from footfall.operators.checks import duplicate_keys, null_rows
 from footfall.operators.trailing import Series
 from footfall.plans import demand, dimensions, features, market, monitoring, scoring, training
 from footfall.session import cut, ensure_checkpoint_dir
+from footfall.sources.holidays import holiday_table
 from footfall.sources.literals import literal_ids
-from footfall.sources.sinks import upsert
+from footfall.sources.sinks import upsert, write_clustered
 
 from .tables import AS_OF, FIRST_DAY, ZONES, holidays, sources, table, zone_of
 from .tidy import tidy
@@ -162,6 +163,13 @@ def holiday_proximity(spark, sf_dir):
     return nearby.with_holiday_distance(keys, demand.DAY, holidays(spark))
 
 
+@query
+def default_holidays(spark, sf_dir):
+    """Days with events and their distance to the default calendar."""
+    days = table(spark, sf_dir, "events").groupBy("event_type", F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n_events"))
+    return nearby.with_holiday_distance(days, "day", holiday_table(spark))
+
+
 def _event_inputs(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     day = F.col("ts").cast("date").alias("day")
@@ -329,6 +337,27 @@ def utilisation_rate(spark, sf_dir):
     )
 
 
+@query
+def clustered_panel(spark, sf_dir):
+    """Panel and menu, stored in buckets of the series keys and joined as they lie: windows and join move no row."""
+    tables = sources(spark, sf_dir)
+    menu = dimensions.menu_stats(
+        tables["locations"], tables["services"], tables["service_categories"], tables["service_rules"]
+    )
+    panel = demand.demand_from_sources(tables).select(*demand.PANEL_KEYS, "demand_count")
+    name, keys = f"c{uuid.uuid4().hex}", list(demand.SERIES_KEYS)
+    stored = write_clustered(panel, f"{name}_panel", _folder(spark), keys, [demand.DAY], BUCKETS)
+    prices = write_clustered(menu, f"{name}_menu", _folder(spark), keys, [], BUCKETS)
+    series = Series(demand.SERIES_KEYS, demand.DAY)
+    recent = stored.withColumn("recent", series.total("demand_count", 7))
+    return recent.join(prices, keys, "left").groupBy(*keys).agg(
+        F.count("*").alias("n_days"), F.max("recent").alias("busiest"), F.max("avg_menu_price_cents").alias("avg_menu_price_cents")
+    )
+
+
+BUCKETS = 16
+
+
 # The feature table and its readers ---------------------------------------------
 
 
@@ -507,7 +536,12 @@ def monitor_psi(spark, sf_dir):
 
 @query
 def prediction_view(spark, sf_dir):
-    return monitoring.summarise_by(forecasts(spark, sf_dir), ["location_id", "service_category"])
+    """Totals read through the published view, and a comment it carries."""
+    name = f"p{uuid.uuid4().hex}"
+    forecasts(spark, sf_dir).write.option("path", _folder(spark)).saveAsTable(f"{name}_table")
+    view = monitoring.publish_view(spark, f"{name}_table", f"{name}_view")
+    comment = spark.sql(f"DESCRIBE {name}_view").where("col_name = 'predicted'").first()["comment"]
+    return monitoring.summarise_by(view, ["location_id", "service_category"]).withColumn("predicted_comment", F.lit(comment))
 
 
 # Checks -----------------------------------------------------------------------------
@@ -579,3 +613,13 @@ def importance_trees(spark, sf_dir):
     _, store, _ = _trained(spark, sf_dir)
     history = spark.read.parquet(f"{store.root}/feature_importance")
     return history.select("feature", "importance_split", "importance_gain_pct", "importance_split_pct")
+
+
+def full_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run at its published setting, on unbounded numbers: 200 rounds of depth 3, two validation folds.
+
+    For the bench; it has no SQL. The result is the run's registry entry.
+    """
+    store = training.ModelStore(spark, _folder(spark))
+    training.train(cut(feature_rows(spark, sf_dir)), store, WINDOWS, training.Boosting())
+    return store.registry()
