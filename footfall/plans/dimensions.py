@@ -112,7 +112,8 @@ def menu_stats(
     menu, so a much-ruled service is no hot join key of raw rules.
     """
     menu = cut(_active_menu(services, categories))
-    sites = cut(locations.select(F.col("id").alias("location_id"), "business_id"))
+    # Two columns of a small table; writing it costs more than reading it again.
+    sites = locations.select(F.col("id").alias("location_id"), "business_id")
     per_staff = cut(rules_per_staff(rules))
     grain = ["location_id", "service_category"]
 
