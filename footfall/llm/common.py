@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, ensure_checkpoint_dir
@@ -35,12 +35,11 @@ def documents(docs: DataFrame, *extra: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
 
 
-def filtered(docs: DataFrame, verdict: DataFrame, keep: Column) -> DataFrame:
-    """Rows of `docs`, all columns as they are, whose `doc_id` has a row in `verdict` (`__id`, unique) where `keep` holds.
+#: Ids that are broadcast at most: some 30 MB for an executor.
+FEW_IDS = 1_000_000
 
-    Rows without an id stay.
-    """
-    chosen = verdict.where(keep).select(F.col("__id").alias("__keep_id"))
-    named = docs.where(F.col("doc_id").isNotNull())
-    kept = named.join(chosen, named["doc_id"].cast("long") == chosen["__keep_id"], "left_semi")
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+def few(ids: DataFrame) -> DataFrame:
+    """`ids`, a stored table of one or two numbers a row, to join with: broadcast where counting finds at most `FEW_IDS` rows,
+    so that the other side, with its texts, stays where it is; beyond that Spark moves both sides by key."""
+    return F.broadcast(ids) if ids.count() <= FEW_IDS else ids

@@ -32,8 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
-from .common import documents
+from .common import cut_clean as cut
+from .common import documents, few
 from .words import Words, distinct, mixed, passes, shingles
 
 BUCKETS = 128
@@ -340,8 +340,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     # A hub that is itself a guest elsewhere still belongs to its own group.
     members = cut(members)
     counts = members.groupBy("hub").agg(F.count("*").alias("m"), F.count_if("core").alias("cores")).where("m > 1 and cores > 0")
+    wanted = few(cut(members.select(F.col("node").alias("doc_id")).distinct()))
     sets = (
-        docs.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        docs.join(wanted, "doc_id", "left_semi")
         .mapInPandas(_full_sets(size), "node long, full binary, regs binary")
     )
     placed = (
