@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_clean as cut
+from .common import few
 
 ORDER = 4
 BATCH_CHARS = 8_000_000
@@ -149,7 +150,7 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("version"),
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
     )
-    model = train(rows.join(good.where(~held_out()), "doc_id", "left_semi"))
+    model = train(rows.join(few(good.where(~held_out())), "doc_id", "left_semi"))
     chars = rows.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     batches = max(1, math.ceil(chars / BATCH_CHARS))
     batched = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "version"), F.lit(batches)).cast("int"))
