@@ -59,17 +59,31 @@ _HELD: ContextVar[list[str] | None] = ContextVar("held", default=None)
 
 
 @contextmanager
-def temporary(spark: SparkSession) -> Iterator[None]:
-    """Files that `cut` writes inside go when the block ends: for jobs whose results are stored elsewhere by then."""
+def noting() -> Iterator[list[str]]:
+    """A list that fills with the folders `cut` writes inside the block, for `discard` when their last reader has ended."""
     held: list[str] = []
     token = _HELD.set(held)
     try:
-        yield
+        yield held
     finally:
         _HELD.reset(token)
-        for path in held:
-            jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-            jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    """Deletes the folders and empties the list."""
+    while folders:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(folders.pop())
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Files that `cut` writes inside go when the block ends: for jobs whose results are stored elsewhere by then."""
+    with noting() as held:
+        try:
+            yield
+        finally:
+            discard(spark, held)
 
 
 def cut(df: DataFrame) -> DataFrame:
