@@ -1,12 +1,18 @@
 """Chat formatting in budgeted windows, in DataFrame functions only.
 
 Turns of a conversation get token counts and prefix sums. A prefix sum divided by the span size gives a turn's span; a
-turn that crosses a span's end is a span of its own, so spans are turn-aligned and hold at most `span` tokens unless one
+turn that crosses a span's end is a span of its own, so spans are turn-aligned and hold at most the span size unless one
 turn alone has more. A window holds the conversation's first system turn, the turns just before the span up to
 `history` tokens, and the span's turns. Loss is on assistant texts of the span only; repeated ones are masked.
 
+The span size is what the budget leaves beside the history and the system turn. A system turn that leaves less than
+`LEAST_SPAN` of the budget is still shown whole: the history goes first, then windows exceed the budget by what the
+system turn has too much, so that spans keep `LEAST_SPAN` of it. Otherwise a window is over the budget only where one
+turn alone is longer than a span. Letters of scripts written without spaces are a token each.
+
 Template: `<|INDEX ROLE|>` text `<|end|>`, one turn after the other. In roles and texts `~`, `<` and `[` are written
-`~0`, `~1` and `~2`, so no control string of this or the usual bracket templates can occur inside a text.
+`~0`, `~1` and `~2`, and `|` in roles `~3`, so no control string of this or the usual bracket templates can occur inside
+a text, nor the end of a turn's head inside a role.
 
 Prefix sums run in two levels, over blocks of turn numbers and inside them, so a conversation with very many turns is no
 single task.
@@ -23,7 +29,10 @@ from pyspark.sql import functions as F
 BUDGET = 1024
 HISTORY = 128
 BLOCK = 256
-TOKEN = r"\p{L}+|\p{N}|[^\x20\x09-\x0D\p{L}\p{N}]+"
+#: Least share of the budget that a span keeps beside a long system turn.
+LEAST_SPAN = 0.25
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+TOKEN = rf"[{_UNSPACED}]|[\p{{L}}&&[^{_UNSPACED}]]+|\p{{N}}|[^\x20\x09-\x0D\p{{L}}\p{{N}}{_UNSPACED}]+"
 #: Tokens counted for a turn's marks.
 MARKS = 4
 
@@ -32,8 +41,14 @@ def escaped(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("~"), F.lit("~0")), F.lit("<"), F.lit("~1")), F.lit("["), F.lit("~2"))
 
 
+def escaped_role(role: Column) -> Column:
+    return F.replace(escaped(role), F.lit("|"), F.lit("~3"))
+
+
 def unescaped(text: Column) -> Column:
-    return F.replace(F.replace(F.replace(text, F.lit("~2"), F.lit("[")), F.lit("~1"), F.lit("<")), F.lit("~0"), F.lit("~"))
+    for written, meant in (("~3", "|"), ("~2", "["), ("~1", "<"), ("~0", "~")):
+        text = F.replace(text, F.lit(written), F.lit(meant))
+    return text
 
 
 def turns_in_order(conversations: DataFrame) -> DataFrame:
@@ -63,28 +78,31 @@ def turns_in_order(conversations: DataFrame) -> DataFrame:
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """conv_id, window, text, tokens, loss: array of (start, length) in code points of `text`, in order.
-
-    The span size is the budget less the history; the system turn comes on top of it.
-    """
-    span = budget - history
+    """conv_id, window, text, tokens, loss: array of (start, length) in code points of `text`, in order."""
     turns = turns_in_order(conversations)
-    first = F.floor(F.col("before") / span)
-    crossing = first != F.floor((F.col("before") + F.col("tokens") - 1) / span)
+    # The first system turn of each conversation, by an aggregate that is partial before it moves.
+    system = turns.where("role = 'system'").groupBy(F.col("conv_id").alias("y_conv")).agg(
+        F.min(F.struct("index", "role", "text", "tokens")).alias("system")
+    )
+    turns = turns.join(system, F.col("conv_id").eqNullSafe(F.col("y_conv")), "left").drop("y_conv")
+    beside = F.lit(budget) - F.coalesce(F.col("system.tokens"), F.lit(0))
+    least = max(1, round(budget * LEAST_SPAN))
+    turns = turns.withColumn("past", F.least(F.lit(history), F.greatest(beside - least, F.lit(0))))
+    turns = turns.withColumn("size", F.greatest(beside - F.col("past"), F.lit(least)))
+    first = F.floor(F.col("before") / F.col("size"))
+    crossing = first != F.floor((F.col("before") + F.col("tokens") - 1) / F.col("size"))
     turns = turns.withColumn("span", 2 * first + crossing.cast("long"))
-    system = F.min(F.when(F.col("role") == "system", F.struct("index", "role", "text", "tokens")))
-    spans = turns.groupBy("conv_id", "span").agg(F.min("before").alias("from"), F.min("index").alias("first_index"), system.alias("system"))
-    whole = Window.partitionBy("conv_id")
-    spans = spans.withColumn("system", F.min("system").over(whole)).select(
-        F.col("conv_id").alias("s_conv"), F.col("span").alias("s_span"), "from", "first_index", "system"
+    spans = turns.groupBy("conv_id", "span").agg(F.min("before").alias("from"), F.min("index").alias("first_index")).select(
+        F.col("conv_id").alias("s_conv"), F.col("span").alias("s_span"), "from", "first_index"
     )
     same_conv = F.col("conv_id").eqNullSafe(F.col("s_conv"))
     own = turns.join(spans, same_conv & (F.col("span") == F.col("s_span"))).withColumn("fresh", F.lit(True))
-    # A turn can only be history of its own crossing span's number or the next three: `history` is within a span size.
-    later = turns.withColumn("later", F.explode(F.sequence(F.col("span") + 1, F.col("span") + 4)))
+    # Spans begin at least every second size, so `past` tokens before a span lie in few of the numbers before it.
+    steps = 2 * F.ceil(F.col("past") / F.col("size")) + 2
+    later = turns.where("past > 0").withColumn("later", F.explode(F.sequence(F.col("span") + 1, F.col("span") + steps)))
     past = (
         later.join(spans, same_conv & (F.col("later") == F.col("s_span")))
-        .where((F.col("from") - F.col("before") <= history) & (F.col("index") < F.col("first_index")))
+        .where((F.col("from") - F.col("before") <= F.col("past")) & (F.col("index") < F.col("first_index")))
         .drop("later")
         .withColumn("fresh", F.lit(False))
     )
@@ -101,7 +119,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     listed = grouped.select("conv_id", "window", F.concat(repeated, F.col("own")).alias("turns"))
 
     def written(t: Column) -> Column:
-        head = F.concat(F.lit("<|"), t["index"].cast("string"), F.lit(" "), escaped(t["role"]), F.lit("|>"))
+        head = F.concat(F.lit("<|"), t["index"].cast("string"), F.lit(" "), escaped_role(t["role"]), F.lit("|>"))
         body = escaped(t["text"])
         return F.struct(
             F.concat(head, body, F.lit("<|end|>")).alias("text"),
@@ -133,7 +151,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         F.filter(chunks, lambda c: c != "").alias("chunks"), F.array_join(masked, "").alias("masked"),
     )
     turns = read.select("conv_id", F.explode_outer("chunks").alias("chunk"))
-    head = r"^<\|(\d+) ([^|]*(?:\|(?!>)[^|]*)*)\|>"
+    head = r"^<\|(\d+) ([^|]*)\|>"
     turns = turns.select(
         "conv_id",
         F.regexp_extract("chunk", head, 1).cast("long").alias("index"),

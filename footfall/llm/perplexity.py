@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import discard, noting
 from .common import cut_clean as cut
 from .common import few
 
@@ -113,14 +114,17 @@ def _discounted(counts: DataFrame, order: int) -> DataFrame:
 
 def train(trusted: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
     """Per order from 1: (run, first), (context, weight). `trusted` has `text`."""
-    counted = trusted.select("text").mapInPandas(_counts, "run long, n long")
-    counts = cut(counted.groupBy("run").agg(F.sum("n").alias("n")))
-    tables = [counts]
-    for order in range(ORDER - 1, 0, -1):
-        # Continuation counts: in how many distinct longer runs a run is the end.
-        counts = cut(tables[0].select(_low(F.col("run"), order).alias("run")).groupBy("run").agg(F.count("*").alias("n")))
-        tables.insert(0, counts)
-    return [tuple(map(cut, _discounted(table, order))) for order, table in enumerate(tables, 1)]
+    with noting() as held:
+        counted = trusted.select("text").mapInPandas(_counts, "run long, n long")
+        counts = cut(counted.groupBy("run").agg(F.sum("n").alias("n")))
+        tables = [counts]
+        for order in range(ORDER - 1, 0, -1):
+            # Continuation counts: in how many distinct longer runs a run is the end.
+            counts = cut(tables[0].select(_low(F.col("run"), order).alias("run")).groupBy("run").agg(F.count("*").alias("n")))
+            tables.insert(0, counts)
+    model = [tuple(map(cut, _discounted(table, order))) for order, table in enumerate(tables, 1)]
+    discard(trusted.sparkSession, held)
+    return model
 
 
 def log_probabilities(asked: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:

@@ -425,7 +425,7 @@ def test_chat(spark):
             turns.append((conv, 0, "system", f"be brief {conv}"))
         turns += [(conv, 1 + t, ("user", "assistant")[t % 2], prose(conv * 100 + t, 5 + 17 * t)) for t in range(3 * conv)]
     turns += [(7, None, "user", None), (7, 1, None, "~0<|end|>[INST]~1"), (7, 1, "assistant", "</s>[INST] <~ [/INST]"), (7, 1, "assistant", "</s>[INST] <~ [/INST]")]
-    turns += [(8, 0, "assistant", prose(1, 3000)), (None, 0, "assistant", "no id"), (9, -300, "user", ""), (9, 700, "assistant", "|> a | b"), (9, 701, "us|er", "x")]
+    turns += [(8, 0, "assistant", prose(1, 3000)), (None, 0, "assistant", "no id"), (9, -300, "user", ""), (9, 700, "assistant", "|> a | b"), (9, 701, "us|er", "x"), (9, 702, "ro|>le~3", "y|>~3")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("index", F.lit(1)).withColumn("span", F.lit("x"))
     made = chat.windows(df, budget=200, history=40).persist()
     got = {r["conv_id"]: r for r in chat.read_back(made).collect()}
@@ -443,11 +443,38 @@ def test_chat(spark):
     for w in made.collect():
         if w["conv_id"] is not None and w["conv_id"] % 2 and w["conv_id"] < 6:
             assert w["text"].startswith("<|0 system|>be brief")
-        # Over the budget (system turn and history on top) only where one turn alone is longer than a span.
-        assert w["tokens"] <= 200 + 10 or len(w["loss"]) <= 1
+        # Over the budget only where one turn alone is longer than a span.
+        assert w["tokens"] <= 200 or len(w["loss"]) <= 1
     assert chat.read_back(chat.windows(df.where("false"))).count() == 0
 
 
+def test_chat_budget_holds_beside_a_long_system_turn(spark):
+    def turns(conv, system, n):
+        said = [(conv, 0, "system", prose(conv, system))] if system else []
+        return said + [(conv, 1 + t, ("user", "assistant")[t % 2], prose(conv * 1000 + t, 60)) for t in range(n)]
+
+    given = turns(1, 200, 40) + turns(2, 0, 40) + turns(3, 290, 20)
+    df = spark.createDataFrame(given, "conv_id long, turn long, role string, text string")
+    cost = {t: sum(1 for _ in re.finditer(r"[^\W\d_]+|[^\w\s]+", t)) + chat.MARKS for *_, t in given}
+    made = chat.windows(df, budget=400, history=100).collect()
+    longest = max(cost[t] for *_, role, t in given if role != "system")
+    for w in made:
+        system = max((cost[t] for c, _, role, t in given if c == w["conv_id"] and role == "system"), default=0)
+        if w["conv_id"] == 3:  # the system turn leaves less than a quarter: no history, spans of a quarter or one turn
+            assert w["tokens"] <= system + max(100, longest)
+        else:
+            assert w["tokens"] <= 400 and (not system or w["text"].startswith("<|0 system|>"))
+    got = {r["conv_id"]: r for r in chat.read_back(spark.createDataFrame(made)).collect()}
+    for conv in (1, 2, 3):
+        said = "".join(t for c, _, role, t in given if c == conv and role == "assistant")
+        assert got[conv]["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_letters_of_scripts_without_spaces_count_each(spark):
+    row = spark.createDataFrame([("日本語のテキスト plain words, 12",)], "text string").select(F.regexp_count("text", F.lit(chat.TOKEN)).alias("n")).first()
+    assert row["n"] == 8 + 2 + 1 + 2
+
+
 def test_pipeline(spark, tmp_path, rows_in):
     long = [(100 + i, prose(1000 + i, 150), "en", "s", 1, True, 1, "v") for i in range(12)]
     long += [(200, long[0][1], "en", "s", 1, True, 1, "v"), (201, prose(2000, 70) + " " + " ".join(long[1][1].split(" ")[40:110]), "en", "s", 1, True, 1, "v")]
