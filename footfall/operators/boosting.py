@@ -354,10 +354,10 @@ def _grow_level(tree: Tree, level: int, sums: np.ndarray, points: Sequence[np.nd
 def fit_trees(rows: DataFrame, growth: Growth, limits: Sequence[int]) -> list[BoostedTrees]:
     """One model for each limit, trained on the rows whose block is below it.
 
-    `rows` holds `inputs` (array of doubles), `target` and `block` (a small number). Rows without a target are left out.
-    A limit without rows gives the value 0 everywhere.
+    `rows` holds `inputs` (array of doubles), `target` and `block` (a small number); it is read a few times before it is
+    binned, so it should be stored. Rows without a target are left out. A limit without rows gives the value 0 everywhere.
     """
-    rows = cut(rows.where("target is not null and not isnan(target)").select("inputs", F.col("target").cast("double").alias("target"), F.col("block").cast("int").alias("block")))
+    rows = rows.where("target is not null and not isnan(target)").select("inputs", F.col("target").cast("double").alias("target"), F.col("block").cast("int").alias("block"))
     means = rows.agg(*[F.avg(F.when(F.col("block") < limit, F.col("target"))).alias(f"m{i}") for i, limit in enumerate(limits)], F.max(F.size("inputs")).alias("n")).first()
     models = [BoostedTrees(means[f"m{i}"] or 0.0) for i in range(len(limits))]
     if means["n"] is None:

@@ -114,8 +114,11 @@ def training_rows(train: DataFrame, folds: int, digits: int | None = None) -> Da
     A category enters as the mean target of its rows on earlier days, so no row sees its own; to validate, as the mean over
     the blocks before. Rows of earlier blocks have the same inputs in every fold.
     """
-    blocks = cut(time_blocks(train, DAY, folds + 1).select(DAY, "block"))
-    labelled = cut(train.join(blocks, DAY).withColumn(ROW, F.monotonically_increasing_id()))
+    if folds:
+        blocked = train.join(cut(time_blocks(train, DAY, folds + 1).select(DAY, "block")), DAY)
+    else:
+        blocked = train.withColumn("block", F.lit(0))
+    labelled = cut(blocked.withColumn(ROW, F.monotonically_increasing_id()))
     means = cut(earlier_means(labelled, CATEGORY_INPUTS, TARGET, DAY, "block", digits))
     values = values_by_row(labelled, ROW, means, CATEGORY_INPUTS, ("code", "block_code"), DAY)
     forms = {"inputs": "code", "later_inputs": "block_code"}

@@ -14,7 +14,7 @@ from footfall.functions import calendar_columns, clamped_difference, document_te
 from footfall.operators import errors, nearby, vocabulary
 from footfall.operators.checks import duplicate_keys, null_rows
 from footfall.operators.trailing import Series
-from footfall.plans import demand, dimensions, features, market, monitoring, scoring, training
+from footfall.plans import demand, dimensions, features, market, monitoring, refresh, scoring, training
 from footfall.session import cut, ensure_checkpoint_dir
 from footfall.sources.holidays import holiday_table
 from footfall.sources.literals import literal_ids
@@ -372,9 +372,9 @@ def feature_table(spark, sf_dir):
 
 @query
 def training_slice(spark, sf_dir):
-    return training.training_slice(
-        feature_rows(spark, sf_dir), WINDOWS.train_start, WINDOWS.train_end, ("location_id",)
-    )
+    """Read from the feature table as the daily job stores it: sorted, in month folders that the day bounds prune."""
+    stored = refresh.refresh_features(spark, sources(spark, sf_dir), _folder(spark), AS_OF, holidays(spark), FIRST_DAY)
+    return training.training_slice(stored, WINDOWS.train_start, WINDOWS.train_end, ("location_id",))
 
 
 @query
