@@ -16,7 +16,7 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Texts of one array pass together hold about this many bytes; a longer text is a pass of its own.
-PASS_BYTES = 4 << 20
+PASS_BYTES = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
