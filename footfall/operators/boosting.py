@@ -32,8 +32,8 @@ ACCURACY = 10_000
 REFRESH = 10
 #: Gains that differ by less than this share are equal; the first input, then the least cut, wins.
 SAME_GAIN = 1e-9
-#: Up to so many tasks the driver adds their histograms itself; more are added by tasks first.
-DIRECT = 32
+#: Up to so many tasks the driver adds their histograms itself; more are added by tasks first, up to `FAN_IN` in each.
+DIRECT, FAN_IN, ADDERS = 32, 64, 8
 NODES = (
     "tree int, node int, feature int, threshold double, missing_left boolean, value double, gain double, n_rows double"
 )
@@ -295,8 +295,9 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _total(parts: DataFrame, tasks: int, shape: tuple[int, ...]) -> np.ndarray:
     """Sum over tasks, (fit, errors and rows, node, input, bin)."""
-    if tasks > DIRECT:
-        parts = parts.repartition(DIRECT, F.col("part") % DIRECT).mapInArrow(_added, parts.schema)
+    while tasks > DIRECT:
+        tasks = min(tasks - 1, max(ADDERS, tasks // FAN_IN))
+        parts = parts.repartition(tasks, F.col("part") % tasks).mapInArrow(_added, parts.schema)
     out = np.zeros(shape)
     for row in sorted(parts.collect(), key=lambda r: (r["fit"], r["part"])):
         out[row["fit"]] += np.frombuffer(row["sums"], dtype=np.float64).reshape(shape[1:])

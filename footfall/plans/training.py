@@ -33,6 +33,8 @@ NUMERIC_INPUTS = (
 CATEGORY_INPUTS = ("service_category", "location_city", "sf_segment", "sf_industry")
 # Number of a row inside one stored table.
 ROW = "_row"
+# Scored rows that are stored beside a model, for `ModelStore.differing`.
+SAMPLE_ROWS = 100
 FOLDS = 2
 
 
@@ -240,12 +242,22 @@ class ModelStore:
         latest = self.registry().where(number.isNotNull()).orderBy(number.desc()).select("version").first()
         return latest and latest["version"]
 
-    def save_files(self, model: DemandModel, version: str) -> str:
+    def save_files(self, model: DemandModel, version: str, sample: DataFrame | None = None) -> str:
+        """Writes the model, and some scored rows if given; returns the folder."""
         path = f"{self.root}/{version}"
+        if sample is not None:
+            replace_table(sample.limit(SAMPLE_ROWS).coalesce(1), f"{path}/sample")
         replace_table(model.trees.nodes(self.spark), f"{path}/trees")
         replace_table(model.vocabularies, f"{path}/vocabularies")
         return path
 
+    def differing(self, version: str | None = None) -> int:
+        """Rows of the stored sample to which the stored model, loaded again, gives another score than it had."""
+        model = self.load(version)
+        stored = self.spark.read.parquet(f"{self.root}/{model.version}/sample").withColumnRenamed("prediction", "_before")
+        again = model.predict(stored)
+        return again.where(~F.coalesce(F.abs(F.col("prediction") - F.col("_before")) <= 1e-9, F.lit(False))).count()
+
     def register(self, model: DemandModel, alpha: float, n_calibration: int, covered: float, comment: str) -> None:
         row = (model.conformal_q, alpha, n_calibration, covered, model.metrics, comment)
         names = "conformal_q double, alpha double, n_calibration bigint, coverage_pct double, " \
@@ -288,7 +300,8 @@ def train(
     if validate:
         check_days(training, FOLDS)
     model, cross_scores = fit_and_validate(training, boosting, FOLDS if validate else 0)
-    scored = cut(model.predict(test).select(TARGET, "prediction"))
+    predicted = cut(model.predict(test))
+    scored = predicted.select(TARGET, "prediction")
     if not scored.where("prediction is null or isnan(prediction)").isEmpty():
         raise ValueError("the fitted model gives test rows no number; nothing is stored")
     measured = error_metrics(scored, TARGET, "prediction").drop("n_rows").first().asDict()
@@ -300,7 +313,7 @@ def train(
     model.conformal_q = q
     model.metrics = {**measured, **cross_scores}
     model.version = store.claim_version()
-    path = store.save_files(model, model.version)
+    path = store.save_files(model, model.version, predicted)
     weights = importance(split_nodes(spark, path), [*NUMERIC_INPUTS, *CATEGORY_INPUTS])
     history = weights.withColumn("trained_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"))
     append_rows(history.coalesce(1), f"{store.root}/feature_importance", model_version=model.version)

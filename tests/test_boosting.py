@@ -121,6 +121,8 @@ def test_many_tasks_add_before_the_driver(spark, monkeypatch):
     rows = table(spark, x, y)
     (plain,) = fit_trees(rows, Growth(rounds=2), [1])
     monkeypatch.setattr(boosting, "DIRECT", 1)
+    monkeypatch.setattr(boosting, "ADDERS", 1)
+    monkeypatch.setattr(boosting, "FAN_IN", 2)
     (added,) = fit_trees(rows, Growth(rounds=2), [1])
     assert added.predict(x) == pytest.approx(plain.predict(x))
 

@@ -39,6 +39,8 @@ def test_summary_and_store(spark, run):
     assert summary["version"] == "V1" and summary["rmse"] > 0 and summary["conformal_q"] > 0
     store = training.ModelStore(spark, f"{root}/model")
     assert (store.last_version(), store.next_version()) == ("V1", "V2")
+    sample = spark.read.parquet(f"{root}/model/V1/sample")
+    assert 0 < sample.count() <= training.SAMPLE_ROWS and store.differing() == 0
     entry = store.registry().first()
     assert entry["coverage_pct"] >= 89 and {"rmse", "cv_rmse", "cv_mape_pct"} <= set(entry["metrics"])
     history = spark.read.parquet(f"{root}/model/feature_importance")
