@@ -262,6 +262,53 @@ def test_passages(docs, nothing):
     assert passages.repeated_passages(nothing).count() == 0
 
 
+def test_passages_meet_in_groups_of_any_size(spark, monkeypatch):
+    """46 texts share 50 to 80 words: more partners than any few centres, in one block and in several."""
+    common = prose(41, 80).split(" ")
+
+    def fill(seed):
+        return [f"u{seed}_{i}" for i in range(60)]
+
+    rows = [(i, " ".join(fill(i) + common[15:65] + fill(i + 1000))) for i in range(40)]
+    rows += [(100 + i, " ".join(fill(100 + i) + common + fill(2000 + i))) for i in range(6)]
+    rows += [(300, rows[0][1]), (301, rows[0][1]), (400, "same " * 300), (401, "same " * 200)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {}
+    for r in found:
+        got.setdefault((r["doc_id"], r["source_id"]), set()).update(range(r["first_word"], r["last_word"] + 1))
+    ids = [*range(40), *range(100, 106)]
+    assert {(x, y) for x in ids for y in ids if x > y} <= got.keys()
+    assert all(set(range(60, 140)) <= got[100 + i, 100 + j] for i in range(6) for j in range(i))
+    assert got[300, 0] == got[301, 0] == set(range(len(rows[0][1].split(" "))))
+    assert got[401, 400] == set(range(200))
+    monkeypatch.setattr(passages, "BLOCK_BYTES", 5 * passages.SHORT)
+    again = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(again) == sorted(found)
+
+
+def test_meetings_inside_runs_of_one_shingle_are_those_of_all_windows():
+    chance = np.random.default_rng(2)
+    for _ in range(40):
+        own = [np.repeat(chance.integers(1, 9, 12).astype(np.uint64), chance.integers(1, 9, 12)) for _ in range(4)]
+        values, bounds = np.concatenate(own), np.concatenate(([0], np.cumsum([len(o) for o in own])))
+        ids = np.arange(4)
+        got = {(x, y): sorted(h) for x, y, h in passages._meetings(values, bounds, ids, ids, False, 6, 3, 2)}
+        keys, owners, places = passages._windows(values, bounds, 6, 3)
+        met = collections.defaultdict(list)
+        for i in range(len(keys)):
+            for j in range(len(keys)):
+                (a, c, b), (p, m, q) = places[i].tolist(), places[j].tolist()
+                before, after = min(c - a, m - p), min(b - c, q - m)
+                if keys[i] == keys[j] and owners[i] > owners[j] and before + after + 1 >= 6:
+                    met[int(owners[i]), int(owners[j])].append((c - m, c - before, c + after))
+        want = {}
+        for pair, spans in met.items():
+            if len(spans) >= 2:
+                shifts = sorted({s for s, _, _ in spans})
+                want[pair] = [(s, min(l for t, l, _ in spans if t == s), max(h for t, _, h in spans if t == s)) for s in shifts]
+        assert got == want
+
+
 def test_compact_windows_cover_every_subsequence_once():
     hashes = np.random.default_rng(1).integers(0, 50, 60)
     found = passages.compact_windows(hashes, 8)
