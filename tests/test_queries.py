@@ -1,10 +1,13 @@
 """Every registered query against its SQL, and the shape of the plans."""
 
+import math
+import random
 import re
 
 import pytest
 
 import __spark_entry__ as driver
+from workload import tidy
 from workload.oracle import ORACLE
 from workload.queries import QUERIES
 from workload.verify import connect, difference
@@ -86,3 +89,16 @@ def test_panel_moves_twice_after_its_windows(spark, no_broadcast):
             moves += re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan[i])
     keys = [re.findall(r"(\w+)#", move) for move in moves]
     assert keys == [["location_id", "target_date"], ["location_zip", "service_category", "target_date"]]
+
+
+def test_rounding_without_decimals_gives_the_same_doubles(spark):
+    chance = random.Random(4)
+    values = [chance.uniform(-1, 1) * 10 ** chance.randrange(-8, 14) for _ in range(4000)]
+    values += [k / 2 * 10.0**-d + e for k in range(-40, 41) for d in (6, 9) for e in (0.0, -tidy.NUDGE, 1e-15, -1e-15)]
+    values += [k / 60 for k in range(5000)] + [0.0, -0.0, math.nan, math.inf, -math.inf, None]
+    df = spark.createDataFrame([(v, v) for v in values], "price double, hours double")
+    for name, digits in (("price", 6), ("hours", 9)):
+        same = df.selectExpr(f"({tidy.rounded(name)}) + 0D as a", f"round({name} + {tidy.NUDGE}D, {digits}) + 0D as b")
+        assert same.where("not (a <=> b)").count() == 0
+    plan = tidy.tidy(df)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("rint") >= 2
