@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from footfall.llm import chat, decontamination, grammar_tokens, near_duplicates, packing, pages, passages, perplexity, quality_rules, token_counts
+from footfall.llm import chat, decontamination, grammar_tokens, near_duplicates, packing, pages, passages, perplexity, quality_rules, token_counts, words
 from footfall.llm.tokens import Encoder
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, piece int, version string"
@@ -309,6 +309,35 @@ def test_meetings_inside_runs_of_one_shingle_are_those_of_all_windows():
         assert got == want
 
 
+def test_texts_meet_only_with_a_long_row_in_common_and_no_passage_is_lost():
+    chance = np.random.default_rng(5)
+    assert passages.longest_run(46, 5, 0.8) == 20
+    sentence, passage = prose(51, 12).split(" "), prose(52, 120).split(" ")
+    made = []
+    for i in range(60):
+        edited = list(passage)
+        for at in chance.integers(0, 120, int(chance.integers(0, 5))):
+            edited[at] = f"e{i}_{at}"
+        middle = [sentence, edited, sentence * 9, ["one"] * int(chance.integers(2, 90))][i % 4]
+        made.append(" ".join([f"a{i}_{k}" for k in range(50)] + middle + [f"b{i}_{k}" for k in range(50)]).encode())
+    values, bounds = words.shingles(words.Words(made), 5)
+    ids, block = np.arange(60), passages.Block(values, bounds)
+
+    def found(runs):
+        met = list(passages._meetings(values, bounds, ids, ids, False, 46, 16, 2, runs))
+        return len(met), {(i, j, *p) for i, j, hulls in met for p in passages.common_passages(block, i, j, hulls, 46, 0.8)}
+
+    every, few = found(None), found(passages._run_keys(values, bounds, 5, 46, 20))
+    assert few[1] == every[1] and len({p[:2] for p in few[1]}) > 60 and few[0] < every[0]
+
+    def keys(n):
+        pair = [" ".join([f"{s}{k}" for k in range(60)] + passage[:n] + [f"{s}{k}" for k in range(60, 120)]).encode() for s in "xy"]
+        owners, hashes = passages._run_keys(*words.shingles(words.Words(pair), 5), 5, 46, 20)
+        return len(set(hashes[owners == 0]) & set(hashes[owners == 1]))
+
+    assert keys(12) == keys(13) == 0 and all(keys(n) for n in range(24, 60))
+
+
 def test_compact_windows_cover_every_subsequence_once():
     hashes = np.random.default_rng(1).integers(0, 50, 60)
     found = passages.compact_windows(hashes, 8)
