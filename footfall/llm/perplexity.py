@@ -7,7 +7,7 @@ probabilities come from joins of the count tables, which are sharded by run and
 Documents are dealt into batches of bounded size. A batch asks for each run it holds once; the distinct runs of all
 batches are joined with the model order by order (a run unseen at one order falls back to the context's weight and the
 next order), and the answers go back to their batch, which reads its texts again and sums them up per document. So what
-moves is the texts once and a few numbers for each distinct run of a batch, never a row per word.
+moves is the texts once, compressed, and a few numbers for each distinct run of a batch, never a row per word.
 
 A document is kept if its log perplexity is at most its language's quantile of the log perplexities of trusted documents
 that were left out of training (steps of 0.001, exact counts). A language without such documents takes the quantile over
@@ -20,6 +20,7 @@ repeated rows are judged each; a null language is a language of its own; without
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,15 +67,24 @@ def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 held, size = [], 0
 
 
+def _deflate(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: zlib.compress(t.encode(), 1) if isinstance(t, str) else None)
+
+
+def _inflated(texts: pd.Series) -> list[str]:
+    """A null text is empty."""
+    return [zlib.decompress(t).decode() if t is not None else "" for t in texts]
+
+
 def _asked(group: pd.DataFrame) -> pd.DataFrame:
-    key = np.unique(runs([t for t in group["text"] if isinstance(t, str)])[0])
+    key = np.unique(runs(_inflated(group["deflated"]))[0])
     return pd.DataFrame({"batch": group["batch"].iloc[0], "run": key.view(np.int64)})
 
 
 def _scores(group: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     if not len(group):
         return pd.DataFrame({"doc_id": pd.Series(dtype="Int64"), "version": [], "lang": [], "n_chars": [], "log_sum": []})
-    key, bounds = runs([t if isinstance(t, str) else "" for t in group["text"]])
+    key, bounds = runs(_inflated(group["deflated"]))
     total = np.zeros(len(key) + 1)
     if len(key):
         known = answers["run"].to_numpy().astype(np.int64).view(np.uint64)
@@ -158,7 +168,9 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
     chars = rows.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     batches = max(1, math.ceil(chars / BATCH_CHARS))
     batched = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "version"), F.lit(batches)).cast("int"))
-    by_batch = batched.groupBy("batch")
+    # Texts move as bytes that are packed closer than shuffle files pack them.
+    deflated = F.pandas_udf(_deflate, "binary")("text").alias("deflated")
+    by_batch = batched.select("batch", "doc_id", "version", "lang", deflated).groupBy("batch")
     asked = by_batch.applyInPandas(_asked, "batch int, run long")
     answers = asked.join(log_probabilities(asked, model), "run").select("batch", "run", "log_p")
     scores = by_batch.cogroup(answers.groupBy("batch")).applyInPandas(

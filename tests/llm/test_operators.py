@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -425,6 +426,13 @@ def test_perplexity_tells_trusted_prose_from_noise(spark, nothing):
     assert not perplexity.classify(docs, labels.where("false")).toPandas().kept.any()
 
 
+def test_texts_to_score_move_compressed():
+    given = pd.Series([prose(1, 400), "", None, "é日😀" * 200])
+    moved = perplexity._deflate(given)
+    assert perplexity._inflated(moved) == [t or "" for t in given]
+    assert sum(len(b) for b in moved if b is not None) < 0.5 * sum(len(t.encode()) for t in given if t)
+
+
 def test_model_probabilities_sum_to_one(spark):
     data = spark.createDataFrame([("abcabcab",), ("abba",), ("cabcab",)] * 3, "text string")
     model = perplexity.train(data)
