@@ -64,20 +64,23 @@ def compress(ids: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = R
             break
         often = often[np.lexsort((ordered[heads[often]], -counts[often]))][:room]
         pairs = ordered[heads[often]]
-        # A table of slots finds a pair's rank; of pairs in one slot the most frequent stays.
-        table = np.zeros(1 << SLOTS, dtype=np.int32)
+        # A table of slots finds a pair's rank, from 1; of pairs in one slot the most frequent stays.
+        ranks = np.int16 if len(pairs) < 1 << 15 else np.int32
+        table = np.zeros(1 << SLOTS, dtype=ranks)
         slots = (pairs * factor) >> away
-        table[slots[::-1]] = np.arange(len(pairs), 0, -1)
-        rank = table[(code * factor) >> away] - 1
-        found = inside & (rank >= 0)
-        found[found] = pairs[rank[found]] == code[found]
-        rank = np.where(found, rank, len(pairs))
-        before = np.concatenate(([len(pairs)], rank[:-1]))
-        after = np.concatenate((rank[1:], [len(pairs)]))
-        at = np.flatnonzero((rank < before) & (rank <= after) & (rank < len(pairs)))
+        table[slots[::-1]] = np.arange(len(pairs), 0, -1, dtype=ranks)
+        rank = table[(code * factor) >> away]
+        found = (rank > 0) & inside & (np.concatenate((pairs[:1], pairs))[rank] == code)
+        rank[~found] = np.iinfo(ranks).max
+        found[1:] &= rank[1:] < rank[:-1]
+        found[:-1] &= rank[:-1] <= rank[1:]
+        at = np.flatnonzero(found)
         if not len(at):
             break
-        used, number = np.unique(rank[at], return_inverse=True)
+        is_used = np.zeros(len(pairs) + 1, dtype=bool)
+        is_used[rank[at]] = True
+        used = np.flatnonzero(is_used) - 1
+        number = np.cumsum(is_used)[rank[at]] - 1
         symbols[at] = (first_rule + made + number).astype(kind)
         stay = np.ones(len(symbols), dtype=bool)
         stay[at + 1] = False
@@ -144,7 +147,14 @@ class Shard:
         return expand(own[a:b], self.rules, self.first_rule)[start - skipped : stop - skipped]
 
     def all(self) -> Iterator[np.ndarray]:
-        whole = expand(self.symbols, self.rules, self.first_rule)
+        # Every symbol's tokens in a row, then one look at them for each symbol.
+        rules = np.arange(self.first_rule, self.first_rule + len(self.rules), dtype=np.uint32)
+        tokens = np.concatenate((np.arange(self.first_rule, dtype=np.uint32), expand(rules, self.rules, self.first_rule)))
+        sizes = np.concatenate((np.ones(self.first_rule, dtype=np.int32), self.expansions.astype(np.int32)))
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+        n = sizes[self.symbols]
+        places = np.cumsum(n, dtype=np.int64) - n
+        whole = tokens[np.repeat(starts[self.symbols] - places, n) + np.arange(n.sum())]
         ends = np.cumsum(self.sizes)
         for start, end in zip(ends - self.sizes, ends):
             yield whole[start:end]

@@ -12,7 +12,7 @@ import os
 import re
 
 #: Words that a task remembers; beyond that, those not seen lately are forgotten.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 #: White space that Python's split() and the tokenizers may see differently; a text with it is split at ASCII space only.
 _UNSURE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 _ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
@@ -34,6 +34,21 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
+class _Remembered(dict):
+    """Ids by word; a word that is not there yet is looked up among older ones or encoded."""
+
+    def __init__(self, older: dict[str, bytes], encode):
+        super().__init__()
+        self.older, self.encode = older, encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        return ids
+
+
 _READY: dict[str, "Encoder"] = {}
 
 
@@ -66,8 +81,7 @@ class Encoder:
         )
         self.letters = _byte_letters()
         self.bytes_of = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words = _Remembered({}, self._word)
         self.stems: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
 
@@ -77,23 +91,26 @@ class Encoder:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        if not plain:
-            return self._whole(word)
-        stem, tail = plain.groups()
-        if tail not in self.tails:
-            self.tails[tail] = self._whole(tail)
-        stem = stem.lower()
+        if word.isascii() and word.isalpha():
+            stem, tail = word.lower(), ""
+        else:
+            plain = _PLAIN.fullmatch(word)
+            if not plain:
+                return self._whole(word)
+            stem, tail = plain.groups()
+            if tail not in self.tails:
+                self.tails[tail] = self._whole(tail)
+            stem = stem.lower()
         ids = self.stems.get(stem)
         if ids is None:
             found = self.tokenizer.model.tokenize(stem if stem.isascii() else stem.translate(self.letters))
             ids = self.stems[stem] = b"".join([self.bytes_of[token.id] for token in found])
-        return ids + self.tails[tail]
+        return ids + self.tails[tail] if tail else ids
 
     def _forget(self) -> None:
         """Words unseen since the last time go; the dictionaries never hold more than twice what may be remembered."""
         if len(self.words) > REMEMBERED:
-            self.older, self.words = self.words, {}
+            self.words = _Remembered(dict(self.words), self._word)
         if len(self.stems) > REMEMBERED:
             self.stems = {}
         if len(self.tails) > REMEMBERED:
@@ -109,7 +126,4 @@ class Encoder:
             size = REMEMBERED // 2
             return b"".join(self.ids(" ".join(words[i : i + size])) for i in range(0, len(words), size))
         self._forget()
-        known, older = self.words, self.older
-        for w in set(words).difference(known):
-            known[w] = older[w] if w in older else self._word(w)
-        return b"".join(map(known.__getitem__, words))
+        return b"".join(map(self.words.__getitem__, words))

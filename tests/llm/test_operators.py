@@ -310,6 +310,19 @@ def test_meetings_inside_runs_of_one_shingle_are_those_of_all_windows():
         assert got == want
 
 
+def test_remembered_words_are_bounded_and_read_shards_in_one_look(monkeypatch):
+    plain, known = Encoder(), Encoder()
+    monkeypatch.setattr("footfall.llm.tokens.REMEMBERED", 50)
+    given = [prose(i, 40).upper() + f" Wort{i % 7}s, x{i} {prose(i + 1, 3)}" for i in range(30)]
+    for text in given:
+        assert known.ids(text) == plain._whole(text)
+        assert len(known.words) <= 100 and len(known.words.older) <= 100
+    rows = [known.ids(text) + b"\2\0\0\0" for text in given * 20]
+    shard = grammar_tokens.Shard(grammar_tokens._shard(0, 0, 0, list(range(len(rows))), rows, known.tokenizer.get_vocab_size()))
+    assert shard.expansions.max() > 4 and len(shard.symbols) < 0.5 * sum(map(len, rows)) / 4
+    assert [ids.astype("<u4").tobytes() for ids in shard.all()] == rows == [shard.document(i).astype("<u4").tobytes() for i in range(len(rows))]
+
+
 def test_texts_meet_only_with_a_long_row_in_common_and_no_passage_is_lost():
     chance = np.random.default_rng(5)
     assert passages.longest_run(46, 5, 0.8) == 20
