@@ -20,7 +20,6 @@ repeated rows are judged each; a null language is a language of its own; without
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import discard, noting
 from .common import cut_clean as cut
-from .common import few
+from .common import deflated, few, inflated
 
 ORDER = 4
 BATCH_CHARS = 8_000_000
@@ -67,24 +66,15 @@ def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 held, size = [], 0
 
 
-def _deflate(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: zlib.compress(t.encode(), 1) if isinstance(t, str) else None)
-
-
-def _inflated(texts: pd.Series) -> list[str]:
-    """A null text is empty."""
-    return [zlib.decompress(t).decode() if t is not None else "" for t in texts]
-
-
 def _asked(group: pd.DataFrame) -> pd.DataFrame:
-    key = np.unique(runs(_inflated(group["deflated"]))[0])
+    key = np.unique(runs(inflated(group["deflated"]))[0])
     return pd.DataFrame({"batch": group["batch"].iloc[0], "run": key.view(np.int64)})
 
 
 def _scores(group: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     if not len(group):
         return pd.DataFrame({"doc_id": pd.Series(dtype="Int64"), "version": [], "lang": [], "n_chars": [], "log_sum": []})
-    key, bounds = runs(_inflated(group["deflated"]))
+    key, bounds = runs(inflated(group["deflated"]))
     total = np.zeros(len(key) + 1)
     if len(key):
         known = answers["run"].to_numpy().astype(np.int64).view(np.uint64)
@@ -169,8 +159,8 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
     batches = max(1, math.ceil(chars / BATCH_CHARS))
     batched = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "version"), F.lit(batches)).cast("int"))
     # Texts move as bytes that are packed closer than shuffle files pack them.
-    deflated = F.pandas_udf(_deflate, "binary")("text").alias("deflated")
-    by_batch = batched.select("batch", "doc_id", "version", "lang", deflated).groupBy("batch")
+    packed = deflated("text").alias("deflated")
+    by_batch = batched.select("batch", "doc_id", "version", "lang", packed).groupBy("batch")
     asked = by_batch.applyInPandas(_asked, "batch int, run long")
     answers = asked.join(log_probabilities(asked, model), "run").select("batch", "run", "log_p")
     scores = by_batch.cogroup(answers.groupBy("batch")).applyInPandas(

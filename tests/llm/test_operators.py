@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from footfall.llm import chat, decontamination, grammar_tokens, near_duplicates, packing, pages, passages, perplexity, quality_rules, token_counts, words
+from footfall.llm import chat, common, decontamination, grammar_tokens, near_duplicates, packing, pages, passages, perplexity, quality_rules, token_counts, words
 from footfall.llm.tokens import Encoder
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, piece int, version string"
@@ -439,10 +439,10 @@ def test_perplexity_tells_trusted_prose_from_noise(spark, nothing):
     assert not perplexity.classify(docs, labels.where("false")).toPandas().kept.any()
 
 
-def test_texts_to_score_move_compressed():
+def test_texts_move_compressed():
     given = pd.Series([prose(1, 400), "", None, "é日😀" * 200])
-    moved = perplexity._deflate(given)
-    assert perplexity._inflated(moved) == [t or "" for t in given]
+    moved = common._deflate(given)
+    assert common.inflated(moved) == [t or "" for t in given]
     assert sum(len(b) for b in moved if b is not None) < 0.5 * sum(len(t.encode()) for t in given if t)
 
 
