@@ -352,6 +352,74 @@ def test_texts_meet_only_with_a_long_row_in_common_and_no_passage_is_lost():
     assert keys(12) == keys(13) == 0 and all(keys(n) for n in range(24, 60))
 
 
+def test_merged_spans_are_those_of_all_pairs_and_have_no_row_for_a_pair(spark, monkeypatch):
+    common = prose(61, 90).split(" ")
+    rows = [(i, " ".join([f"u{i}_{k}" for k in range(60)] + common[i % 4 * 5 : 60 + i % 3 * 10] + [f"v{i}_{k}" for k in range(60)])) for i in range(40)]
+    rows += [(50, " ".join(common[:30] + ["x"] + common[30:])), (51, rows[3][1]), (52, rows[5][1] + " " + rows[6][1]), (53, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def cells(found):
+        held = collections.defaultdict(set)
+        for r in found:
+            held[r["doc_id"], r["version"]].update(range(r["first_word"], r["last_word"] + 1))
+        return held
+
+    pairs = passages.repeated_passages(docs).collect()
+    merged = passages.repeated_passages(docs, merged=True).collect()
+    assert cells(merged) == cells(pairs) and len(pairs) > 600 and len(merged) < 60
+    # In several blocks, which take turns.
+    monkeypatch.setattr(passages, "BLOCK_BYTES", 8 * passages.SHORT)
+    monkeypatch.setattr(passages, "TURN_BYTES", 1)
+    seen = []
+    given = passages._cells
+    monkeypatch.setattr(passages, "_cells", lambda held: seen.append(given(held)) or seen[-1])
+    assert cells(passages.repeated_passages(docs, merged=True).collect()) == cells(pairs)
+    assert sorted(passages.repeated_passages(docs).collect()) == sorted(pairs)
+    assert all(turns > 1 for *_, turns in seen)
+
+
+def test_a_text_goes_once_to_each_group_it_has_hashes_of(spark):
+    """Twenty texts with one passage and 2,000 with another: 2,020 moves and those between the blocks of the large group."""
+    rows = [(i, 0, 0, 100) for i in range(20)] + [(i, 0, 1, 9000) for i in range(20, 2020)] + [(5, 0, 1, 100)]
+    groups, cells, turns = passages._cells(spark.createDataFrame(rows, "doc_id long, version long, hub long, bytes long"))
+    assert turns == 1 and groups.count() == 2020
+    blocks = 1 + (2000 * 9000 + passages.SHORT) // passages.BLOCK_BYTES
+    assert cells.count() == 20 + 2001 * blocks
+    assert cells.where("one > two").isEmpty() and cells.where("block != one and block != two").isEmpty()
+    assert {len(r["groups"]) for r in groups.where("doc_id = 5").collect()} == {2}
+
+
+def test_overlaps_of_a_text_are_verified_as_those_of_each_pair(monkeypatch):
+    chance = np.random.default_rng(8)
+    base = [f"w{k}" for k in range(300)]
+    made = []
+    for i in range(50):
+        text = list(base) if i % 2 else [f"a{i}_{k}" for k in range(70)] + base[40 : 110 + i] + [f"b{i}_{k}" for k in range(70)]
+        for at in chance.integers(0, len(text), int(chance.integers(0, 12)) if i % 3 else 0):
+            text[at : at + int(chance.integers(0, 3))] = [f"e{i}_{at}"] * int(chance.integers(0, 3))
+        if i % 10 == 0:
+            text += text[100:190] + ["one"] * 60
+        made.append(" ".join(text).encode())
+    values, bounds = words.shingles(words.Words(made), 5)
+    ids, block = np.arange(50), passages.Block(values, bounds)
+    one_by_one = collections.defaultdict(set)
+    for i, j, hulls in passages._meetings(values, bounds, ids, ids, False, 46, 4, 2):
+        one_by_one[i] |= {(j, *p) for p in passages.common_passages(block, i, j, hulls, 46, 0.8)}
+    plain = 0
+    for places in (passages.Overlaps.PLACES, 1000):
+        monkeypatch.setattr(passages.Overlaps, "PLACES", places)
+        for i, *met in passages._met(values, bounds, ids, ids, False, 46, 4, 2):
+            overlaps = passages.Overlaps(block, i, *met, 46, 0.8)
+            arrays, others = overlaps.every()
+            plain += len(arrays[0])
+            assert {*[(*map(int, p), 1.0) for p in zip(*arrays)], *others} == one_by_one[i]
+            covered = np.zeros(len(block.texts[i]) + 4, dtype=bool)
+            for _, a, b, *_ in one_by_one[i]:
+                covered[a : b + 5] = True
+            assert np.array_equal(overlaps.cover(5), covered)
+    assert plain > 50 and sum(map(len, one_by_one.values())) > 600
+
+
 def test_compact_windows_cover_every_subsequence_once():
     hashes = np.random.default_rng(1).integers(0, 50, 60)
     found = passages.compact_windows(hashes, 8)
