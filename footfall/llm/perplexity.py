@@ -27,8 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import discard, noting
-from .common import cut_clean as cut
+from ..session import cut, discard, noting
 from .common import deflated, few, inflated
 
 ORDER = 4

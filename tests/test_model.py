@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from footfall.operators.vocabulary import earlier_means
 from footfall.plans import monitoring, refresh, scoring, training
 from footfall.sources.sinks import VersionedTable
-from footfall.session import ensure_checkpoint_dir
+from footfall.session import cut, ensure_checkpoint_dir
 from footfall.sources.holidays import holiday_table
 from workload.queries import WINDOWS
 from workload.tables import AS_OF, FIRST_DAY, QUARTER_DAYS, sources
@@ -140,6 +140,26 @@ def test_category_means_carry_a_target_at_any_size(spark, cities):
     assert unseen.where("isnan(prediction) or prediction is null").isEmpty()
 
 
+def test_a_training_run_leaves_no_scratch_and_no_shuffle_files(spark, tmp_path):
+    rows = [(day("2026-03-01") + timedelta(i % 50), f"city {i % 9}", float(i % 7)) for i in range(900)]
+    data = _panel(spark, rows)
+    shared = Path(urlparse(ensure_checkpoint_dir(spark)).path)
+    files = spark._jsc.sc().env().blockManager().diskBlockManager()
+
+    def held():
+        blocks = files.getAllFiles()
+        return {blocks.apply(i).getName() for i in range(blocks.size())}
+
+    folders, blocks = set(shared.iterdir()), {b for b in held() if b.startswith("shuffle_")}
+    stored = cut(data.groupBy(training.DAY).agg(F.max(training.TARGET).alias("most")))
+    assert not {b for b in held() if b.startswith("shuffle_")} - blocks and stored.count() == 50
+    folders |= set(shared.iterdir())
+    store = training.ModelStore(spark, str(tmp_path))
+    windows = training.Windows(day("2026-03-01"), day("2026-04-09"), day("2026-04-10"), day("2026-04-19"))
+    assert training.train(data, store, windows, training.Boosting(rounds=2)).count() == 1
+    assert set(shared.iterdir()) == folders and store.load().predict(data).count() == 900
+
+
 def test_a_category_met_once_tells_nothing_about_itself(spark):
     chance = random.Random(1)
     rows = [(day("2026-01-01") + timedelta(i % 30), f"city {i}", chance.gauss(50, 10)) for i in range(5000)]
